@@ -26,3 +26,21 @@ def get_session(app: str = "strandloom", cpus: int | None = None, **conf: str) -
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of `spark` this package, once per context, wherever they were started."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_strandloom_shipped", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="strandloom-")) / "strandloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._strandloom_shipped = True
