@@ -12,6 +12,7 @@ from strandloom.llm.frequent import frequent
 from strandloom.llm.leaks import leaks
 from strandloom.llm.pairs import together
 from strandloom.llm.quantiles import RANK_ERROR, build, merge, percentiles, ranks, regroup
+from strandloom.llm.spam import stuffed
 from strandloom.llm.tokens import encode
 from strandloom.plans.problems import INTERVALS_SQL, intervals
 from strandloom.storage import materialise, maybe_broadcast, table
@@ -141,7 +142,17 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_leaks(spark, d).filter("same > 0").select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_top, p4_found, p4_medians, p4_percentiles, p5_found, p5_pairs, p6_ids, p7_found, p7_leaks)}
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Features, distance and deviation along the spam directions of every document."""
+    return stuffed(table(spark, d, "documents"), "doc_id", table(spark, d, "page_labels"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Keyword-stuffed pages, tag clouds and link lists."""
+    return p8_scores(spark, d).filter("spam").select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_top, p4_found, p4_medians, p4_percentiles, p5_found, p5_pairs, p6_ids, p7_found, p7_leaks, p8_found, p8_scores)}
 
 _P3 = "k as (select 'cell' key_kind, cell key_value from cluster_frags union all select 'complex', complex from cluster_frags), f as (select key_kind, key_value, count(*) n from k where key_value is not null group by all having count(*) * 400 >= (select count(*) from cluster_frags))"
 _P4 = (
