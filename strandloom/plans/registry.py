@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import problems
+from strandloom.plans import cell_queries, cluster_queries, problems
 
-_MODULES = [problems]
+_MODULES = [problems, cluster_queries, cell_queries]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
