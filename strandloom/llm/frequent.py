@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strandloom.storage import maybe_broadcast
 
 _SCHEMA = "kind string, node bigint, value string, low bigint, deducted bigint"
-_ARROW = pa.schema([("kind", pa.string()), ("node", pa.int64()), ("value", pa.large_string()), ("low", pa.int64()), ("deducted", pa.int64())])
+_ARROW = pa.schema([("kind", pa.string()), ("node", pa.int64()), ("value", pa.string()), ("low", pa.int64()), ("deducted", pa.int64())])
 
 #: Summaries merged by one task.
 FAN_IN = 32
@@ -51,7 +51,7 @@ def _leaf(columns: dict[str, str], counters: int):
         from pyspark import TaskContext
 
         node = TaskContext.get().partitionId()
-        held = {kind: (pa.array([], pa.large_string()), np.zeros(0, np.int64), 0) for kind in columns}
+        held = {kind: (pa.array([], pa.string()), np.zeros(0, np.int64), 0) for kind in columns}
         waiting: dict[str, list] = {kind: [] for kind in columns}
 
         def fold(kind: str) -> None:
@@ -63,7 +63,7 @@ def _leaf(columns: dict[str, str], counters: int):
         for batch in batches:
             for kind, column in columns.items():
                 seen = pc.value_counts(batch.column(column).drop_null())
-                waiting[kind].append((seen.field("values").cast(pa.large_string()), seen.field("counts").to_numpy(zero_copy_only=False).astype(np.int64)))
+                waiting[kind].append((seen.field("values").cast(pa.string()), seen.field("counts").to_numpy(zero_copy_only=False).astype(np.int64)))
                 if sum(len(n) for _, n in waiting[kind]) > 4 * counters:
                     fold(kind)
         for kind in columns:
