@@ -31,8 +31,8 @@ def without_n(df: DataFrame, seq: str) -> DataFrame:
 
 def mean_quality_at_least(qual: Column, least: int) -> Column:
     """Whether the mean of the Phred scores (offset 33) is at least `least`; false for an empty string."""
-    codes = F.transform(F.sequence(F.lit(1), F.length(qual)), lambda i: F.ascii(F.substr(qual, i, F.lit(1))) - 33)
-    return F.when(F.length(qual) > 0, F.aggregate(codes, F.lit(0), lambda a, x: a + x) >= least * F.length(qual)).otherwise(False)
+    letters = F.filter(F.split(qual, ""), lambda c: c != "")
+    return F.when(F.length(qual) > 0, F.aggregate(letters, F.lit(0), lambda a, c: a + F.ascii(c) - 33) >= least * F.length(qual)).otherwise(False)
 
 
 def neighbours(seq: Column, letters: str = LETTERS) -> Column:
