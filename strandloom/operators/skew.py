@@ -55,13 +55,18 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", s
 
     how: inner or left. The rows of `right` with heavy keys are broadcast if they are at most
     `max_rows`; beyond that they are repeated once per salt and joined by shuffle on (key, salt).
-    Null keys match nothing. Columns other than `key` must differ between the sides.
+    Null keys match nothing. Other columns of `right` that `left` has too get `_right` appended.
+    Repeated rows are joined each. An empty side gives what the join of that kind gives.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    clash = set(left.columns) & set(right.columns) - {key}
-    if clash:
-        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    taken = set(left.columns)
+    for column in right.columns:
+        if column != key and column in taken:
+            name = f"{column}_right"
+            while name in taken or name in right.columns:
+                name += "_"
+            right = right.withColumnRenamed(column, name)
     values = heavy_values(left, key, support)
     heavy, light = split_heavy(left, key, values=values)
     few, rest = split_heavy(right, key, values=values)
