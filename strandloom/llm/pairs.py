@@ -96,7 +96,8 @@ def together(df: DataFrame, record: list[str], item: str, one_in: int) -> DataFr
     A task adds the pairs of its records up to stripes (item, neighbours, counts); only stripes are
     shuffled, and they are merged by adding the counts of each neighbour.
     """
-    held = materialise(df.select(*record, F.col(item).alias("item")).dropna().distinct(), "items")
+    held = df.select(*[F.col(c).alias(f"_r{j}") for j, c in enumerate(record)], F.col(item).cast("string").alias("item"))
+    held, record = materialise(held.dropna().distinct(), "items"), [f"_r{j}" for j in range(len(record))]
     total = held.select(*record).distinct().count()
     support = materialise(held.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") * one_in >= total), "support")
     known = maybe_broadcast(support)

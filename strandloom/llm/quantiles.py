@@ -186,11 +186,12 @@ def _load(part: Part, codes: bytes | None, weights: bytes | None, sketch: bytes
 def build(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
     """Sketches of `value` (cast to bigint) per group and partition: keys (as they are) and the parts.
 
-    Rows with a null value or weight are no observations; null keys form a group. `weight` counts a
+    Rows with a null value or weight, or a value that is no number of that range, are no
+    observations; null keys form a group. `weight` counts a
     row so many times, -1 deletes it. Nothing is shuffled, and a task holds HELD rows at most.
     """
     group = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}) if keys else F.lit("{}")
-    rows = df.select(group.alias("g"), F.col(value).cast("bigint").alias("v"), (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("w")).filter("v is not null and w is not null")
+    rows = df.select(group.alias("g"), F.col(value).try_cast("bigint").alias("v"), (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("w")).filter("v is not null and w is not null")
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -33,7 +33,10 @@ CUTOFF = 18.47
 #: Smallest scale of a feature, for those that are zero in most documents.
 FLOOR = 0.02
 LABELLED, FEW = 20_000, 5
-#: Reviewed pages picked by the smallest hash of their id, so that the choice does not depend on order.
+#: A deviation points in a spam direction if that component is this share of the squared distance:
+#: the fit takes the smallest share that tells reviewed pages apart best.
+POINTING = (0.5, 0.6, 0.7, 0.8)
+#: Where too few pages were reviewed.
 DEFAULT_THRESHOLD = 8.0
 
 # Frequent function words of the three languages.
@@ -145,8 +148,8 @@ def describe(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
 def features(docs: DataFrame, key: str, text: str, lang: str | None = None) -> DataFrame:
     """`key`, `language`, `words` and the FEATURES of every document with a word.
 
-    The language is that of the function words; without enough of them it is the one in column
-    `lang` if that is known, else `all`.
+    The language is that of the function words (then `certain`); without enough of them it is the
+    one in column `lang` if that is known, else `all`.
     """
     kind = docs.schema[key].dataType.simpleString()
     known = F.lower(F.trim(F.col(lang))) if lang else F.lit(None).cast("string")
@@ -162,15 +165,20 @@ def features(docs: DataFrame, key: str, text: str, lang: str | None = None) -> D
                 told = part.column("told").to_pylist()
                 label = [names[j] if j >= 0 else t if t in FUNCTION_WORDS else "all" for j, t in zip(language, told)]
                 keep = pa.array(n > 0)
-                out = pa.RecordBatch.from_arrays([part.column("key"), pa.array(label, pa.string()), pa.array(n, pa.int64()), *[pa.array(x[:, j]) for j in range(len(FEATURES))]], ["key", "language", "words", *FEATURES])
+                out = pa.RecordBatch.from_arrays([part.column("key"), pa.array(label, pa.string()), pa.array(language >= 0), pa.array(n, pa.int64()), *[pa.array(x[:, j]) for j in range(len(FEATURES))]], ["key", "language", "certain", "words", *FEATURES])
                 yield out.filter(keep)
 
-    return rows.mapInArrow(describe_all, f"key {kind}, language string, words bigint, " + ", ".join(f"{f} double" for f in FEATURES)).withColumnRenamed("key", key)
+    return rows.mapInArrow(describe_all, f"key {kind}, language string, certain boolean, words bigint, " + ", ".join(f"{f} double" for f in FEATURES)).withColumnRenamed("key", key)
 
 
 def robust(described: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """language -> (centre, scale, inverse scatter of the scaled features); `all` is over every document."""
-    rows = described.select(F.explode(F.array_distinct(F.array("language", F.lit("all")))).alias("language"), *FEATURES)
+    """language -> (centre, scale, inverse scatter of the scaled features).
+
+    A language is described by the documents that are certainly in it, `all` by every document: a
+    language that only pages without function words claim has no description of its own.
+    """
+    groups = F.when(F.col("certain"), F.array("language", F.lit("all"))).otherwise(F.array(F.lit("all")))
+    rows = described.select(F.explode(groups).alias("language"), *FEATURES)
     centre = {r.language: np.array([r[f] for f in FEATURES]) for r in rows.groupBy("language").agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in FEATURES]).collect()}
     if not centre:
         return {}
@@ -194,7 +202,7 @@ def robust(described: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.n
 def scored(described: DataFrame, models: dict, directions: list[np.ndarray]) -> DataFrame:
     """`described` with `distance` (squared) and `along`: the largest deviation along a direction."""
     cases_d, cases_a = None, None
-    for language, (centre, scale, inverse) in models.items():
+    for language, (centre, scale, inverse) in sorted(models.items(), key=lambda m: m[0] == "all"):
         z = [(F.col(f) - float(c)) / float(s) for f, c, s in zip(FEATURES, centre, scale)]
         squared = sum(z[i] * z[j] * float(inverse[i, j]) for i in range(len(z)) for j in range(len(z)))
         along = []
@@ -202,35 +210,41 @@ def scored(described: DataFrame, models: dict, directions: list[np.ndarray]) ->
             weights = inverse @ u / math.sqrt(u @ inverse @ u)
             along.append(sum(z[i] * float(weights[i]) for i in range(len(z))))
         most = F.greatest(*along) if len(along) > 1 else along[0]
-        is_it = F.col("language") == language
+        is_it = F.lit(True) if language == "all" else F.col("language") == language
         cases_d = F.when(is_it, squared) if cases_d is None else cases_d.when(is_it, squared)
         cases_a = F.when(is_it, most) if cases_a is None else cases_a.when(is_it, most)
     return described.withColumn("distance", cases_d).withColumn("along", cases_a)
 
 
-def fit(described: DataFrame, key: str, labels: DataFrame, models: dict, labelled: int = LABELLED) -> tuple[list[np.ndarray], float]:
-    """Spam directions (in scaled features) and the threshold along them, from reviewed pages."""
+def fit(described: DataFrame, key: str, labels: DataFrame, models: dict, labelled: int = LABELLED) -> tuple[list[np.ndarray], float, float]:
+    """From reviewed pages: spam directions (in scaled features), the threshold along them, the share in them."""
     sample = labels.select(key, (F.col("label") == "spam").alias("spam")).dropna().orderBy(F.xxhash64(key)).limit(labelled)
     rows = described.join(F.broadcast(sample), key).select("language", "spam", *FEATURES).collect()
     directions = [np.array([0.0, 0.5, 1.0, 0.5]), np.array([1.0, 0.0, 0.0, 0.5])]
     if not rows:
-        return directions, DEFAULT_THRESHOLD
+        return directions, DEFAULT_THRESHOLD, POINTING[0]
     spam = np.array([r.spam for r in rows])
-    z = np.array([(np.array([r[f] for f in FEATURES]) - models[r.language][0]) / models[r.language][1] for r in rows])
+    own = [models.get(r.language, models["all"]) for r in rows]
+    z = np.array([(np.array([r[f] for f in FEATURES]) - m[0]) / m[1] for r, m in zip(rows, own)])
     linked = np.array([r.density for r in rows]) > 0.05
     for j, group in enumerate((spam & ~linked, spam & linked)):
         if group.sum() >= FEW:
             mean = np.median(z[group], axis=0)
             directions[j] = mean / np.linalg.norm(mean)
     if spam.sum() < FEW or (~spam).sum() < FEW:
-        return directions, DEFAULT_THRESHOLD
-    along = np.array([max(z[i] @ models[r.language][2] @ u / math.sqrt(u @ models[r.language][2] @ u) for u in directions) for i, r in enumerate(rows)])
-    order = np.argsort(-along)
-    hits = np.cumsum(spam[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + spam.sum())
-    best = int(np.argmax(f1))
-    below = along[order][best + 1] if best + 1 < len(order) else along[order][best]
-    return directions, float((along[order][best] + below) / 2)
+        return directions, DEFAULT_THRESHOLD, POINTING[0]
+    along = np.array([max(x @ m[2] @ u / math.sqrt(u @ m[2] @ u) for u in directions) for x, m in zip(z, own)])
+    squared = np.array([x @ m[2] @ x for x, m in zip(z, own)])
+    best = (-1.0, 0.0, 0.0)
+    for share in POINTING:
+        score = np.where(along * np.abs(along) >= share * squared, along, 0.0)
+        order = np.argsort(-score)
+        f1 = 2 * np.cumsum(spam[order]) / (np.arange(1, len(order) + 1) + spam.sum())
+        at = int(np.argmax(f1))
+        if f1[at] > best[0]:
+            below = score[order][min(at + 1, len(order) - 1)]
+            best = float(f1[at]), float(score[order][at] + below) / 2, share
+    return directions, best[1], best[2]
 
 
 def stuffed(docs: DataFrame, key: str, labels: DataFrame, text: str = "text", lang: str | None = "lang") -> DataFrame:
@@ -243,6 +257,7 @@ def stuffed(docs: DataFrame, key: str, labels: DataFrame, text: str = "text", la
     described = materialise(features(docs, key, text, lang), "features")
     models = robust(described)
     if not models:
-        return described.select("*", F.lit(0.0).alias("distance"), F.lit(0.0).alias("along"), F.lit(False).alias("spam"))
-    directions, threshold = fit(described, key, labels, models)
-    return scored(described, models, directions).withColumn("spam", (F.col("distance") > CUTOFF) & (F.col("along") > threshold))
+        return described.drop("certain").select("*", F.lit(0.0).alias("distance"), F.lit(0.0).alias("along"), F.lit(False).alias("spam"))
+    directions, threshold, share = fit(described, key, labels, models)
+    pointing = F.pow("along", F.lit(2)) >= share * F.col("distance")
+    return scored(described, models, directions).withColumn("spam", (F.col("distance") > CUTOFF) & (F.col("along") > threshold) & pointing).drop("certain")
