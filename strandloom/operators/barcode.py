@@ -166,7 +166,7 @@ def scan_chain(reads: DataFrame, key: str, seq: str, holes: list[Hole], barcodes
             key, "_seq", *kept, (F.col("pos") + F.coalesce("_hit._move", F.lit(hole.space + hole.length[1]))).alias("pos"), F.col("_hit._ord").alias(hole.name), F.col("_hit._type").alias(f"{hole.name}_type")
         )
         kept += [hole.name, f"{hole.name}_type"]
-    return state.drop("_seq")
+    return state.select(key, "pos", *kept)
 
 
 def chain_status(scanned: DataFrame, names: list[str]) -> DataFrame:

@@ -97,8 +97,8 @@ def inflection(totals: DataFrame, lower: int = 100, exclude: int = 50) -> DataFr
     """The total where the curve falls most steeply (one row, null where there are under 3 points)."""
     curve = rank_curve(totals, lower, exclude)
     steepest = F.min_by("total", F.struct("slope", F.col("rank"))).alias("inflection")
-    found = curve.filter("slope is not null and not skipped").agg(steepest)
-    return found
+    enough = curve.withColumn("_points", F.count(F.lit(1)).over(Window.partitionBy()))
+    return enough.filter("slope is not null and not skipped and _points >= 3").agg(steepest)
 
 
 def knee(totals: DataFrame, lower: int = 100) -> DataFrame:

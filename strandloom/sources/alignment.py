@@ -31,11 +31,15 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.col("value").startswith("@"))
 
 
+def _without(tags: Column, tag: str) -> Column:
+    return F.map_filter(tags, lambda k, _: k != tag)
+
+
 def sink_sam(df: DataFrame, path: str, tags: dict[str, Column] | None = None) -> None:
     """Write alignments as SAM text without header; `tags`: two-letter tag -> its text value."""
     merged = F.col("tags") if "tags" in df.columns else F.create_map().cast("map<string,string>")
     for tag, value in (tags or {}).items():
-        merged = F.map_concat(F.map_filter(merged, lambda k, _, tag=tag: k != tag), F.create_map(F.lit(tag), F.concat(F.lit("Z:"), value)))
+        merged = F.map_concat(_without(merged, tag), F.create_map(F.lit(tag), F.concat(F.lit("Z:"), value)))
     texts = F.transform(F.array_sort(F.map_entries(merged)), lambda e: F.concat_ws(":", e["key"], e["value"]))
     fixed = [(F.col(f) + 1 if f in ("pos", "pnext") else F.col(f)).cast("string") for f in FIELDS]
     df.select(F.concat_ws("\t", *fixed, texts).alias("value")).write.mode("overwrite").text(path)
