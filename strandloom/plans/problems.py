@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom.functions.ids import group_number, with_chromosome
 from strandloom.operators.skew import distinct_counts, skew_join
 from strandloom.operators.sweep import sweep
-from strandloom.storage import table
+from strandloom.storage import spread, table
 
 KINDS = {"cell": "CELL", "complex": "COMPLEX"}
 
@@ -18,7 +18,7 @@ SHARE = 100
 
 def fragment_keys(spark: SparkSession, d: str) -> DataFrame:
     """(key_value, frag_id): a row for the cell and one for the complex of each fragment row."""
-    frags = table(spark, d, "cluster_frags")
+    frags = spread(table(spark, d, "cluster_frags").select("frag_id", *KINDS))
     both = F.array(*[F.struct(F.lit(f"{p}_").alias("p"), group_number(F.col(c), p).alias("n")) for c, p in KINDS.items()])
     return (
         frags.select("frag_id", F.explode(both).alias("k"))
@@ -45,7 +45,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_barcodes(spark: SparkSession, d: str) -> DataFrame:
     """Distinct fragments and reported reads of each cell with its barcode; cells without a row keep null."""
-    frags = table(spark, d, "cluster_frags").select(group_number(F.col("cell"), "CELL").alias("id"), "frag_id").filter("id is not null")
+    frags = spread(table(spark, d, "cluster_frags").select("cell", "frag_id")).select(group_number(F.col("cell"), "CELL").alias("id"), "frag_id").filter("id is not null")
     idb = table(spark, d, "cell_idb").select("id", F.col("n").alias("reads"), F.substring_index("names", ":", -1).alias("barcode"))
     joined = skew_join(frags, idb, "id", how="left")
     label = joined.select("frag_id", F.struct("id", "barcode", "reads").alias("key"))
@@ -57,7 +57,7 @@ def p1_barcodes(spark: SparkSession, d: str) -> DataFrame:
 
 def intervals(spark: SparkSession, d: str) -> DataFrame:
     """(lib, complex, chr, start_pos, end_pos) with the complex number and the standard chromosome."""
-    frags = table(spark, d, "cluster_frags").select("lib", group_number(F.col("complex"), "COMPLEX").alias("complex"), "chr", "start_pos", "end_pos")
+    frags = spread(table(spark, d, "cluster_frags").select("lib", "complex", "chr", "start_pos", "end_pos")).select("lib", group_number(F.col("complex"), "COMPLEX").alias("complex"), "chr", "start_pos", "end_pos")
     return with_chromosome(frags, "chr", table(spark, d, "chrom_sizes"))
 
 

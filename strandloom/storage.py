@@ -17,6 +17,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores, where its scan has fewer partitions than there are cores.
+
+    A small file with a single row group is read by one task; what follows need not be. Inputs with
+    enough partitions, which is every large one, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session. Where it is unset (tests), a folder of our own is set."""
     conf = spark.sparkContext.getConf()
