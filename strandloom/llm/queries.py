@@ -15,7 +15,7 @@ from strandloom.llm.quantiles import RANK_ERROR, build, merge, percentiles, rank
 from strandloom.llm.spam import stuffed
 from strandloom.llm.tokens import encode
 from strandloom.plans.problems import INTERVALS_SQL, intervals
-from strandloom.storage import materialise, maybe_broadcast, table
+from strandloom.storage import materialise, maybe_broadcast, spread, table
 
 #: A frequent value stands in one of so many rows.
 ONE_IN = 400
@@ -129,12 +129,12 @@ def tokenizer(folder: str = TOKENIZERS) -> tuple[str, str]:
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     path, pattern = tokenizer()
-    return encode(table(spark, d, "documents"), "doc_id", "text", path, pattern)
+    return encode(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", path, pattern)
 
 
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Documents with passages, and how much of them."""
-    return leaks(table(spark, d, "documents"), "doc_id", table(spark, d, "eval_items"), "item_id")
+    return leaks(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", table(spark, d, "eval_items"), "item_id")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +144,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_scores(spark: SparkSession, d: str) -> DataFrame:
     """Features, distance and deviation along the spam directions of every document."""
-    return stuffed(table(spark, d, "documents"), "doc_id", table(spark, d, "page_labels"))
+    return stuffed(spread(table(spark, d, "documents").select("doc_id", "text", "lang")), "doc_id", table(spark, d, "page_labels"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
