@@ -52,6 +52,15 @@ def piece(text: str, encoding, words) -> Piece:
     return Piece(text, np.array(encoding.encode_ordinary(text), np.int32), np.fromiter((m.start() for m in words.finditer(text)), np.int64))
 
 
+def _by_word(text: str, starts: np.ndarray, stop: int, encoding) -> list[int]:
+    """Ids of text[:stop], word by word: cut off as a whole it could be split otherwise at its end.
+
+    A word alone is one word: blanks that were two words before a letter would be one at the end.
+    """
+    ends = [*starts[1:].tolist(), stop]
+    return [i for a, b in zip(starts.tolist(), ends) for i in encoding.encode_ordinary(text[a:b])]
+
+
 def join(left: Piece, right: Piece, encoding, words, window: int = 64) -> Piece:
     """The piece of left.text + right.text."""
     safe = left.starts[left.starts <= len(left.text) - LOOK]
@@ -72,11 +81,10 @@ def join(left: Piece, right: Piece, encoding, words, window: int = 64) -> Piece:
             end = size
             break
         size = min(2 * size, len(right.text))
-    middle = tail + right.text[:end]
-    passed = len(encoding.encode_ordinary(right.text[:end]))
-    ids = np.concatenate([left.ids[:kept], np.array(encoding.encode_ordinary(middle), np.int32), right.ids[passed:]])
-    cut = len(left.text)
-    inside = starts[starts < len(middle)] + begin
+    inside = starts[starts < len(tail) + end]
+    passed = len(_by_word(right.text, right.starts[right.starts < end], end, encoding))
+    ids = np.concatenate([left.ids[:kept], np.array(_by_word(text, inside, len(tail) + end, encoding), np.int32), right.ids[passed:]])
+    cut, inside = len(left.text), inside + begin
     return Piece(left.text + right.text, ids, np.concatenate([left.starts[left.starts < begin], inside, right.starts[right.starts >= end] + cut]))
 
 
