@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import cluster as C
 from strandloom.operators import genomic as G
 from strandloom.plans.views import BLACKLIST, FRAGS, blacklist, frags, with_views
+from strandloom.storage import materialise
 
 GROUP = ["gid"]
 #: Reach of the pair queries, in bases.
@@ -42,12 +43,17 @@ def cluster_split_chr(s, d):
     return C.split_by_chromosome(frags(s, d).select("gid", "idx", "chr"), "gid").groupBy("sub_id", "chr").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _written(s, d):
+    """The fragments as a table of their own: the sweep reads its input twice, for the sketch and for the work."""
+    return materialise(frags(s, d).select("gid", *C.FRAGMENT), "frags")
+
+
 def cluster_merge(s, d):
-    return C.merge(frags(s, d), GROUP, distance=3000, extend=100)
+    return C.merge(_written(s, d), GROUP, distance=3000, extend=100)
 
 
 def cluster_merge_minlen(s, d):
-    return C.merge(frags(s, d), GROUP, distance=1000, min_length=100)
+    return C.merge(_written(s, d), GROUP, distance=1000, min_length=100)
 
 
 def cluster_merge_extra(s, d):
@@ -132,7 +138,7 @@ def _merge_sql(distance: int, extend: int, least: int, extra: bool = False) -> s
     ) + f"select gid, chr, min(start_pos) start_pos, max(end_pos) end_pos{rest} from q group by gid, chr, k"
 
 
-_PAIRS = with_views(FRAGS, f"pr as (select a.gid, a.chr, a.start_pos start_1, a.end_pos end_1, b.start_pos start_2, b.end_pos end_2, b.start_pos - a.end_pos dist from frags a join frags b on a.gid = b.gid and a.chr = b.chr and (b.start_pos, b.idx) > (a.start_pos, a.idx) and b.start_pos - a.start_pos <= {REACH})")
+PAIRS_SQL = with_views(FRAGS, f"pr as (select a.gid, a.chr, a.start_pos start_1, a.end_pos end_1, b.start_pos start_2, b.end_pos end_2, b.start_pos - a.end_pos dist from frags a join frags b on a.gid = b.gid and a.chr = b.chr and (b.start_pos, b.idx) > (a.start_pos, a.idx) and b.start_pos - a.start_pos <= {REACH})")
 _JUICE = "select trim(chr, 'chr') chr_1, (start_1 + end_1) // 2 mid_1, trim(chr, 'chr') chr_2, (start_2 + end_2) // 2 mid_2 from pr"
 COVERAGE = (
     "ev as (select chr, p, sum(d) d from (select chr, start_pos p, 1 d from frags where start_pos < end_pos union all select chr, end_pos, -1 from frags where start_pos < end_pos) group by all having sum(d) <> 0),"
@@ -159,9 +165,9 @@ SQL = {
     "cluster_explode_bed": _F + "select chr, start_pos, end_pos, gid \"name\", row_number() over (partition by gid order by idx, chr, start_pos, end_pos) - 1 i from frags",
     "frag_length": _F + "select chr, start_pos, end_pos, gid || '-' || count(*) over (partition by gid) || '-' || (row_number() over (partition by gid order by idx) - 1) \"name\", end_pos - start_pos len from frags",
     "frag_next_distance": with_views(FRAGS, "w as (select gid, row_number() over (partition by gid order by idx) - 1 i, chr, lead(chr) over (partition by gid order by idx) next_chr, lead(start_pos) over (partition by gid order by idx) - end_pos dist from frags)") + "select * from w where next_chr is not null",
-    "frag_pairs_within": _PAIRS + "select * from pr",
-    "juice_pairs": _PAIRS + _JUICE,
-    "contact_bins": _PAIRS + ", j as (" + _JUICE + ") select resolution, chr_1, mid_1 // resolution bin_1, chr_2, mid_2 // resolution bin_2, count(*) n from j, (values (2500000), (1000000), (100000)) r(resolution) group by all",
+    "frag_pairs_within": PAIRS_SQL + "select * from pr",
+    "juice_pairs": PAIRS_SQL + _JUICE,
+    "contact_bins": PAIRS_SQL + ", j as (" + _JUICE + ") select resolution, chr_1, mid_1 // resolution bin_1, chr_2, mid_2 // resolution bin_2, count(*) n from j, (values (2500000), (1000000), (100000)) r(resolution) group by all",
     "complex_span": _F + "select gid, chr, max(end_pos) - min(start_pos) span, count(*) n from frags group by all",
     "fragcount_hist": with_views(FRAGS, "g as (select least(count(*), 16) k from frags group by gid)") + "select case when r.k > 15 then 'F > 15' else 'F = ' || r.k end \"class\", count(g.k) groups from range(1, 17) r(k) left join g on g.k = r.k group by r.k",
     "mixed_union": _F + "select case when start_pos % 2 = 0 then 'DNA' else 'RNA' end \"type\", chr, count(*) n from frags group by all",
