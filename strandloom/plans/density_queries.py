@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from strandloom.operators import cells as X
 from strandloom.operators import cluster as C
 from strandloom.operators.density import density, density_mode, loop_spans
-from strandloom.plans.cluster_queries import PAIRS_SQL, frag_pairs_within
+from strandloom.operators.genomic import coverage, peaks
+from strandloom.plans.cluster_queries import COVERAGE, PAIRS_SQL, PEAK, PEAKS, frag_pairs_within
+from strandloom.plans.report import report
 from strandloom.plans.views import FRAGS, READS, frags, reads, with_views
+from strandloom.storage import materialise
 
 ANCHOR, POINTS, BANDWIDTH = 50_000, 64, 0.1
 
@@ -49,9 +52,43 @@ def report_rna(s, d):
     return figure(detected, "Total_gene_detected", F.col("v")).unionByName(figure(per_cell, "Mean_gene_per_cell", F.col("mean"))).unionByName(figure(per_cell, "Median_UMI_per_cell", F.col("median")))
 
 
-QUERIES = {f.__name__: f for f in (loop_span_pets, span_density, span_mode, fraglen_mode, report_rna)}
+def _barcoded(s, d):
+    return reads(s, d).select((F.col("seq") == F.col("truth")).alias("full"), "cell", F.col("gene").alias("complex"))
 
+
+def report_scatac(s, d):
+    """The report of an ATAC run."""
+    own = materialise(frags(s, d).select("cell", "idx", *C.FRAGMENT), "frags")
+    found = materialise(peaks(coverage(own), **PEAK), "peaks")
+    return report("scatac", _barcoded(s, d), {"dedup": C.dedup(own, ["cell"], C.FRAGMENT), "peaks": found, "counts": X.peak_cell_counts(own, found)})
+
+
+def report_scsprite(s, d):
+    """The report of a run with cells and complexes."""
+    return report("scsprite", _barcoded(s, d), {"dedup": C.dedup(frags(s, d).select("gid", "idx", *C.FRAGMENT), ["gid"], C.FRAGMENT)})
+
+
+QUERIES = {f.__name__: f for f in (loop_span_pets, span_density, span_mode, fraglen_mode, report_rna, report_scatac, report_scsprite)}
+
+_RD = "rd as (select count(*) n, count_if(seq = truth) k, count(distinct cell) c, count(distinct gene) x from reads)"
+
+
+def _report_sql(key: str, rest: str) -> str:
+    figures = [("Total_read_pairs", "n", "rd"), ("Read_pairs_with_full_barcodes", "k", "rd"), ("Fully_barcode_rate", "cast(floor(k * 1000000.0 / n) / 1000000.0 as double)", "rd")]
+    figures += [("Total_fragments", "t", "dd"), ("Duplicated_fragments", "t - q", "dd"), ("Duplication_rate", "cast(floor((t - q) * 1000000.0 / t) / 1000000.0 as double)", "dd")]
+    dd = f"dd as (select count(*) t, (select count(*) from (select distinct {key}, chr, start_pos, end_pos from frags)) q from frags)"
+    return dd + " " + " union all ".join(f"select '{m}' metric, cast({v} as varchar) \"value\" from {f}" for m, v, f in figures) + rest
+
+
+
+_FIGURE = " union all select '{0}', cast({1} as varchar) from {2}"
 SQL = {
+    "report_scatac": with_views(FRAGS, READS, COVERAGE, PEAKS, _RD, "pc as (select cell from frags f join peaks p on p.chr = f.chr and f.start_pos < p.end_pos and p.start_pos < f.end_pos and f.start_pos < f.end_pos)").rstrip()
+    + ", "
+    + _report_sql("cell", _FIGURE.format("Cell_count_at_fastq", "c", "rd") + _FIGURE.format("Fragments_overlap_peak", "count(*)", "pc") + _FIGURE.format("Cell_count", "count(distinct cell)", "pc") + _FIGURE.format("Peak_count", "count(*)", "peaks")),
+    "report_scsprite": with_views(FRAGS, READS, _RD).rstrip()
+    + ", "
+    + _report_sql("gid", _FIGURE.format("Cell_count_at_fastq", "c", "rd") + _FIGURE.format("Complex_count_at_fastq", "x", "rd") + _FIGURE.format("Total_qualified_fragment", "q", "dd")),
     "loop_span_pets": PAIRS_SQL + f", l as (select chr, (start_1 + end_1) // {2 * ANCHOR} bin_1, (start_2 + end_2) // {2 * ANCHOR} bin_2, count(*) pets, cast(max(floor((start_2 + end_2 - start_1 - end_1) / 2)) as bigint) span from pr group by all)"
     " select *, round(case when span > 0 then log10(span) end, 6) log_span, round(log10(pets), 6) log_pets from l",
     "span_density": with_views(
