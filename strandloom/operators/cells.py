@@ -116,40 +116,61 @@ def called(totals: DataFrame, lower: int = 100, exclude: int = 50) -> DataFrame:
     return totals.join(F.broadcast(inflection(totals, lower, exclude))).filter("total >= inflection").select("cell", "total")
 
 
-def empty_droplets(counts: DataFrame, ambient: int = 100, rounds: int = 1000, fdr: float = 0.001, seed: int = 1) -> DataFrame:
+def empty_droplets(counts: DataFrame, ambient: int = 100, rounds: int = 10_000, fdr: float = 0.001, seed: int = 1) -> DataFrame:
     """Cells unlike the ambient profile: cell, total, p, q, called.
 
-    counts: cell, feature, n. The profile is the share of each feature among cells of up to
-    `ambient` molecules (each feature gets one more, so none is impossible). A cell's statistic is the multinomial log-likelihood
-    of its counts; its p-value comes from `rounds` draws of the same total from the profile, made
-    once per distinct total; q is by Benjamini and Hochberg.
+    counts: cell, feature, n; materialised, as it is read several times. The profile is the share of
+    each feature among cells of up to `ambient` molecules (each feature gets one more, so none is
+    impossible). A cell's statistic is the multinomial log-likelihood of its counts; its p-value comes
+    from `rounds` draws of the same total from the profile; q is by Benjamini and Hochberg. As p is
+    1 / (rounds + 1) at least, a smaller `fdr` than that is refused.
+
+    A draw goes on to the largest total, and its first molecules are the draw of each smaller total.
+    Features of equal share are alike to a draw, so tasks need only how many there are of each share
+    (whose number is bounded by the square root of twice the ambient molecules), not the features.
     """
+    if fdr * (rounds + 1) < 1:
+        raise ValueError(f"{rounds} rounds can't call a cell at fdr {fdr}")
+    from strandloom.storage import materialise
+
     totals = counts.groupBy("cell").agg(F.sum("n").alias("total"))
     low = counts.join(totals.filter(F.col("total") <= ambient), "cell", "left_semi")
-    profile = counts.select("feature").distinct().join(low.groupBy("feature").agg(F.sum("n").alias("k")), "feature", "left").select("feature", (F.coalesce("k", F.lit(0)) + 1.0).alias("k"))
-    whole = profile.agg(F.sum("k").alias("all"))
-    p = profile.join(F.broadcast(whole)).select("feature", (F.col("k") / F.col("all")).alias("share"))
+    profile = materialise(counts.select("feature").distinct().join(low.groupBy("feature").agg(F.sum("n").alias("k")), "feature", "left").select("feature", (F.coalesce("k", F.lit(0)) + 1).cast("bigint").alias("k")), "profile")
+    alike = [(r.k, r.features) for r in profile.groupBy("k").agg(F.count(F.lit(1)).alias("features")).orderBy("k").collect()]
+    whole = sum(k * m for k, m in alike)
     big = totals.filter(F.col("total") > ambient)
-    term = F.col("n") * F.log("share") - F.expr("aggregate(sequence(1, cast(n as int)), 0D, (a, x) -> a + ln(x))")
-    seen = counts.join(big, "cell").join(p, "feature").groupBy("cell", "total").agg(F.sum(term).alias("ll"))
-    shares = [r.share for r in p.orderBy("feature").select("share").limit(1_000_000).collect()]
+    term = F.col("n") * F.log(F.col("k") / F.lit(float(whole or 1))) - F.expr("aggregate(sequence(1, cast(n as int)), 0D, (a, x) -> a + ln(x))")
+    seen = materialise(counts.join(big, "cell").join(profile, "feature").groupBy("cell", "total").agg(F.sum(term).alias("ll")), "seen")
+    sizes = [int(r.total) for r in seen.select("total").distinct().orderBy("total").collect()]
 
-    def draw(key, pdf):
+    def draw(batches):
         import numpy as np
-        import pandas as pd
-
-        total = int(key[0])
-        rng = np.random.default_rng([seed, total])
-        w = np.array(shares)
-        logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, total + 1)))])
-        lls = np.empty(rounds)
-        for r in range(rounds):
-            at, n = np.unique(rng.choice(len(w), total, p=w / w.sum()), return_counts=True)
-            lls[r] = (n * np.log(w[at])).sum() - logs[n].sum()
-        below = np.searchsorted(np.sort(lls), pdf["ll"].to_numpy(), side="right")
-        return pd.DataFrame({"cell": pdf["cell"], "total": pdf["total"], "p": (below + 1) / (rounds + 1)})
-
-    tested = seen.groupBy("total").applyInPandas(draw, counts.select("cell").schema.simpleString().replace("struct<", "").rstrip(">").replace(":", " ") + ", total bigint, p double")
+        import pyarrow as pa
+
+        if not sizes:
+            return
+        k, features = (np.array(x, np.int64) for x in zip(*alike))
+        upto, first = np.cumsum(k * features), np.cumsum(features) - features
+        weight, logs = np.log(k / whole), np.log(np.arange(1, sizes[-1] + 1))
+        ends = np.array(sizes)
+        for batch in batches:
+            for r in batch.column(0).to_pylist():
+                at = np.random.default_rng([seed, r]).integers(0, whole, sizes[-1])
+                kind = np.searchsorted(upto, at, side="right")
+                feature = first[kind] + (upto[kind] - 1 - at) // k[kind]
+                order = np.argsort(feature, kind="stable")
+                new = np.flatnonzero(np.diff(feature[order], prepend=-1))
+                again = np.empty(len(at), np.int64)
+                again[order] = np.arange(len(at)) - np.repeat(new, np.diff(new, append=len(at)))
+                ll = np.cumsum(weight[kind] - logs[again])
+                yield pa.RecordBatch.from_arrays([pa.array(ends), pa.array(ll[ends - 1])], ["total", "ll"])
+
+    spark = counts.sparkSession
+    draws = spark.range(0, rounds, 1, min(rounds, 4 * spark.sparkContext.defaultParallelism)).mapInArrow(draw, "total bigint, ll double")
+    # a draw as likely as the cell counts as below it; the sums differ in their last digits
+    both = seen.select("cell", F.col("total").cast("bigint").alias("total"), (F.col("ll") + 1e-7).alias("ll"), F.lit(0).alias("drawn")).unionByName(draws.withColumn("drawn", F.lit(1)), allowMissingColumns=True)
+    below = F.sum("drawn").over(Window.partitionBy("total").orderBy("ll", F.desc("drawn")).rowsBetween(Window.unboundedPreceding, 0))
+    tested = materialise(both.withColumn("below", below).filter("drawn = 0").select("cell", "total", ((F.col("below") + 1) / F.lit(rounds + 1.0)).alias("p")), "tested")
     # Benjamini and Hochberg over the distinct p-values, of which there are rounds + 1 at most
     levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("k"))
     upto, down = Window.orderBy("p"), Window.orderBy(F.desc("p"))

@@ -67,8 +67,9 @@ def cell_knee(s, d):
 
 
 def cell_empty_droplets(s, d):
-    counts = frags(s, d).groupBy("cell", F.col("chr").alias("feature")).agg(F.count(F.lit(1)).alias("n"))
-    return X.empty_droplets(counts, ambient=20, rounds=200)
+    """Cells told from empty droplets by their counts over peaks."""
+    counts = _counts(s, d).select("cell", F.struct(*X.PEAK).alias("feature"), "n")
+    return X.empty_droplets(materialise(counts, "counts"), ambient=20)
 
 
 def _keyed(s, d, odd: int):

@@ -1,7 +1,11 @@
+import math
 import random
 from itertools import product
 
+import pytest
+
 from strandloom.operators import cells as X
+from strandloom.plans import cell_queries as Q
 
 
 def test_matrix_ids_and_dims(spark):
@@ -55,6 +59,32 @@ def test_empty_droplets_calls_the_odd_cell(spark):
     assert got == {"real": (90, True), "ambient": (90, False)}
 
 
+def test_empty_droplets_as_registered_calls_a_cell(spark, monkeypatch):
+    peak = [("c", 100 * i, 100 * i + 50) for i in range(40)]
+    rnd = random.Random(2)
+    rows = [(i, *rnd.choice(peak), 1) for i in range(300) for _ in range(4)] + [(1000 + c, *rnd.choice(peak), 1) for c in range(3) for _ in range(60)]
+    rows += [(2000 + c, *peak[(c + j) % 40], 20) for c in range(3) for j in range(3)]
+    counts = spark.createDataFrame(rows, "cell bigint, chr string, start_pos bigint, end_pos bigint, k int").groupBy("cell", "chr", "start_pos", "end_pos").agg(X.F.sum("k").alias("n"))
+    monkeypatch.setattr(Q, "_counts", lambda s, d: counts)
+    got = {r.cell: r for r in Q.cell_empty_droplets(spark, "").collect()}
+    assert sorted(got) == [1000, 1001, 1002, 2000, 2001, 2002]
+    assert {c for c, r in got.items() if r.called} == {2000, 2001, 2002} and got[2000].p < 0.001 < 0.01 < got[1000].p
+
+
+def test_empty_droplets_p_against_the_exact_one(spark):
+    rows = [(f"e{i}", f, 1) for i in range(300) for f in ("abb"[i % 3],)] + [("x", "a", 4), ("y", "a", 2), ("y", "b", 2)]
+    got = {r.cell: r.p for r in X.empty_droplets(spark.createDataFrame(rows, "cell string, feature string, n int"), ambient=1).collect()}
+    a = 101 / 302
+    chance = {k: math.comb(4, k) * a**k * (1 - a) ** (4 - k) for k in range(5)}
+    for cell, k in (("x", 4), ("y", 2)):
+        assert abs(got[cell] - sum(v for v in chance.values() if v <= chance[k] * (1 + 1e-9))) < 0.02
+
+
+def test_empty_droplets_refuses_too_few_rounds(spark):
+    with pytest.raises(ValueError):
+        X.empty_droplets(spark.createDataFrame([("x", "a", 4)], "cell string, feature string, n int"), rounds=200)
+
+
 def test_sync_and_lookup(spark):
     atac = spark.createDataFrame([("k1", "A1"), ("k2", "A2")], "idb_key string, cell string")
     rna = spark.createDataFrame([("k1", "CELL_9"), ("k3", "CELL_8")], "idb_key string, cell string")
