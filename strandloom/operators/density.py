@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.operators.genomic import group_bins
 from strandloom.storage import materialise, maybe_broadcast
 
 #: Reach of the kernel in bandwidths; what lies beyond is below 2e-8 of its height.
@@ -26,7 +27,15 @@ def loop_spans(pairs: DataFrame, anchor: int = 5_000) -> DataFrame:
         F.expr(f"(start_2 + end_2) div {2 * anchor}").alias("bin_2"),
         F.floor((F.col("start_2") + F.col("end_2") - F.col("start_1") - F.col("end_1")) / 2).alias("span"),
     )
-    loops = at.groupBy("chr", "bin_1", "bin_2").agg(F.count(F.lit(1)).alias("pets"), F.max("span").alias("span"))
+    return _logs(at.groupBy("chr", "bin_1", "bin_2").agg(F.count(F.lit(1)).alias("pets"), F.max("span").alias("span")))
+
+
+def group_loop_spans(df: DataFrame, keys: list[str], anchor: int = 5_000) -> DataFrame:
+    """The columns of loop_spans from all pairs of fragments of a group and chromosome, however far apart; bin_1 <= bin_2."""
+    return _logs(group_bins(df, keys, anchor).withColumnRenamed("n", "pets"))
+
+
+def _logs(loops: DataFrame) -> DataFrame:
     return loops.withColumn("log_span", F.when(F.col("span") > 0, F.log10(F.col("span").cast("double")))).withColumn("log_pets", F.log10(F.col("pets").cast("double")))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Positions of a block of the prefix sums along a chromosome.
 BLOCK = 1 << 20
+#: Left bins of a group that one row pairs with the rest of it.
+SLICE = 256
 
 
 def coverage(df: DataFrame, keys: list[str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -75,3 +77,48 @@ def contact_bins(pairs: DataFrame, resolutions: list[int]) -> DataFrame:
     """Contacts (chr_1, mid_1, chr_2, mid_2) counted per pair of bins at each resolution."""
     at = pairs.withColumn("resolution", F.explode(F.array(*[F.lit(r).cast("bigint") for r in resolutions])))
     return at.groupBy("resolution", "chr_1", F.expr("mid_1 div resolution").alias("bin_1"), "chr_2", F.expr("mid_2 div resolution").alias("bin_2")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def group_bins(df: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """All pairs of fragments of one group and chromosome, by the bins of their midpoints.
+
+    Columns chr, bin_1 <= bin_2, n (pairs) and span (largest floor of the distance of the midpoints).
+    Fragments are first counted per group and bin, so that two bins of a group meet once, with the
+    product of their counts. A group holds at most as many bins as a chromosome, and its left bins
+    go to the tasks in slices. Fragments with a null position count nothing.
+    """
+    both = df.dropna(subset=["chr", "start_pos", "end_pos"]).select(*keys, "chr", (F.col("start_pos") + F.col("end_pos")).alias("_mids"))
+    bins = both.groupBy(*keys, "chr", F.floor(F.col("_mids") / (2 * width)).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("_mids").alias("lo"), F.max("_mids").alias("hi"))
+    groups = bins.groupBy(*keys, "chr").agg(F.array_sort(F.collect_list(F.struct("bin", "n", "lo", "hi"))).alias("b"))
+    slices = groups.withColumn("_first", F.explode(F.sequence(F.lit(0), F.size("b") - 1, F.lit(SLICE)))).repartition(8 * df.sparkSession.sparkContext.defaultParallelism, *keys, "chr", "_first")
+    left = slices.select("chr", "b", "_first", F.posexplode(F.slice("b", F.col("_first") + 1, SLICE)).alias("_at", "l"))
+    met = left.select("chr", "l", F.explode(F.slice("b", F.col("_first") + F.col("_at") + 1, F.size("b"))).alias("r"))
+    same = F.col("l.bin") == F.col("r.bin")
+    pairs = F.when(same, F.expr("l.n * (l.n - 1) div 2")).otherwise(F.col("l.n") * F.col("r.n"))
+    rows = met.select("chr", F.col("l.bin").alias("bin_1"), F.col("r.bin").alias("bin_2"), pairs.alias("n"), F.expr("(r.hi - l.lo) div 2").alias("span")).filter("n > 0")
+    return rows.groupBy("chr", "bin_1", "bin_2").agg(F.sum("n").alias("n"), F.max("span").alias("span"))
+
+
+def group_contacts(df: DataFrame, keys: list[str], resolutions: list[int]) -> DataFrame:
+    """Contacts of all pairs of fragments of a group and chromosome per pair of bins at each resolution.
+
+    Columns as of contact_bins, with bin_1 <= bin_2, as the map is symmetric; no list of pairs is
+    made and none is left out for its distance. A resolution is summed from the coarsest one before
+    it that divides it.
+    """
+    from strandloom.storage import materialise
+
+    name = F.expr("trim(both 'chr' from chr)")
+    done: dict[int, DataFrame] = {}
+    for r in sorted({int(r) for r in resolutions}):
+        finer = max((x for x in done if r % x == 0), default=None)
+        if finer is None:
+            cells = group_bins(df, keys, r).select(name.alias("chr_1"), "bin_1", "bin_2", "n")
+        else:
+            cells = done[finer].select("chr_1", *[F.floor(F.col(c) / (r // finer)).alias(c) for c in ("bin_1", "bin_2")], "n")
+        done[r] = materialise(cells.groupBy("chr_1", "bin_1", "bin_2").agg(F.sum("n").alias("n")), "contacts")
+    out = None
+    for r, cells in done.items():
+        part = cells.select(F.lit(r).cast("bigint").alias("resolution"), "chr_1", "bin_1", F.col("chr_1").alias("chr_2"), "bin_2", "n")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -12,6 +12,8 @@ from strandloom.storage import materialise
 GROUP = ["gid"]
 #: Reach of the pair queries, in bases.
 REACH = 100_000
+#: Resolutions of the contact maps, in bases.
+RESOLUTIONS = [2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000, 1_000]
 PEAK = {"cutoff": 2, "min_length": 60, "max_gap": 30}
 
 
@@ -84,6 +86,11 @@ def contact_bins(s, d):
     return G.contact_bins(juice_pairs(s, d), [2_500_000, 1_000_000, 100_000])
 
 
+def contact_bins_all(s, d):
+    """Contacts of all pairs of a complex on a chromosome, at every resolution of the reference."""
+    return G.group_contacts(frags(s, d), GROUP, RESOLUTIONS)
+
+
 def complex_span(s, d):
     return C.spans(frags(s, d), ["gid", "chr"])
 
@@ -121,7 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cluster_group_count, cluster_inline_bed, cluster_hierarchy, cluster_dedup_start, cluster_dedup_start_end, cluster_dup_stats, cluster_split_chr, cluster_merge, cluster_merge_minlen, cluster_merge_extra,
-        cluster_explode_bed, frag_length, frag_next_distance, frag_pairs_within, juice_pairs, contact_bins, complex_span, fragcount_hist, mixed_union, mask_antigrep, cov_runs, cov_peaks, overlap_inner, overlap_anti,
+        cluster_explode_bed, frag_length, frag_next_distance, frag_pairs_within, juice_pairs, contact_bins, contact_bins_all, complex_span, fragcount_hist, mixed_union, mask_antigrep, cov_runs, cov_peaks, overlap_inner, overlap_anti,
     )
 }
 
@@ -140,6 +147,7 @@ def _merge_sql(distance: int, extend: int, least: int, extra: bool = False) -> s
 
 PAIRS_SQL = with_views(FRAGS, f"pr as (select a.gid, a.chr, a.start_pos start_1, a.end_pos end_1, b.start_pos start_2, b.end_pos end_2, b.start_pos - a.end_pos dist from frags a join frags b on a.gid = b.gid and a.chr = b.chr and (b.start_pos, b.idx) > (a.start_pos, a.idx) and b.start_pos - a.start_pos <= {REACH})")
 _JUICE = "select trim(chr, 'chr') chr_1, (start_1 + end_1) // 2 mid_1, trim(chr, 'chr') chr_2, (start_2 + end_2) // 2 mid_2 from pr"
+ALL_PAIRS_SQL = with_views(FRAGS, "pa as (select a.chr, least(a.start_pos + a.end_pos, b.start_pos + b.end_pos) s1, greatest(a.start_pos + a.end_pos, b.start_pos + b.end_pos) s2 from frags a join frags b on a.gid = b.gid and a.chr = b.chr and (b.start_pos, b.idx, b.end_pos, b.cell) > (a.start_pos, a.idx, a.end_pos, a.cell))")
 COVERAGE = (
     "ev as (select chr, p, sum(d) d from (select chr, start_pos p, 1 d from frags where start_pos < end_pos union all select chr, end_pos, -1 from frags where start_pos < end_pos) group by all having sum(d) <> 0),"
     " dp as (select chr, p start_pos, lead(p) over (partition by chr order by p) end_pos, cast(sum(d) over (partition by chr order by p) as bigint) depth from ev), runs as (select * from dp where depth > 0)"
@@ -168,6 +176,7 @@ SQL = {
     "frag_pairs_within": PAIRS_SQL + "select * from pr",
     "juice_pairs": PAIRS_SQL + _JUICE,
     "contact_bins": PAIRS_SQL + ", j as (" + _JUICE + ") select resolution, chr_1, mid_1 // resolution bin_1, chr_2, mid_2 // resolution bin_2, count(*) n from j, (values (2500000), (1000000), (100000)) r(resolution) group by all",
+    "contact_bins_all": ALL_PAIRS_SQL + "select resolution, trim(chr, 'chr') chr_1, s1 // (2 * resolution) bin_1, trim(chr, 'chr') chr_2, s2 // (2 * resolution) bin_2, count(*) n from pa, (values " + ", ".join(f"({r})" for r in RESOLUTIONS) + ") r(resolution) group by all",
     "complex_span": _F + "select gid, chr, max(end_pos) - min(start_pos) span, count(*) n from frags group by all",
     "fragcount_hist": with_views(FRAGS, "g as (select least(count(*), 16) k from frags group by gid)") + "select case when r.k > 15 then 'F > 15' else 'F = ' || r.k end \"class\", count(g.k) groups from range(1, 17) r(k) left join g on g.k = r.k group by r.k",
     "mixed_union": _F + "select case when start_pos % 2 = 0 then 'DNA' else 'RNA' end \"type\", chr, count(*) n from frags group by all",

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from strandloom.operators import cells as X
 from strandloom.operators import cluster as C
-from strandloom.operators.density import density, density_mode, loop_spans
+from strandloom.operators.density import density, density_mode, group_loop_spans, loop_spans
 from strandloom.operators.genomic import coverage, peaks
-from strandloom.plans.cluster_queries import COVERAGE, PAIRS_SQL, PEAK, PEAKS, frag_pairs_within
+from strandloom.plans.cluster_queries import ALL_PAIRS_SQL, COVERAGE, GROUP, PAIRS_SQL, PEAK, PEAKS, frag_pairs_within
 from strandloom.plans.report import report
 from strandloom.plans.views import FRAGS, READS, frags, reads, with_views
 from strandloom.storage import materialise
@@ -23,6 +23,11 @@ def loop_span_pets(s, d):
     return loop_spans(frag_pairs_within(s, d), ANCHOR).select("chr", "bin_1", "bin_2", "pets", "span", F.round("log_span", 6).alias("log_span"), F.round("log_pets", 6).alias("log_pets"))
 
 
+def loop_span_pets_all(s, d):
+    """Loops of all pairs of a complex on a chromosome, with no reach."""
+    return group_loop_spans(frags(s, d), GROUP, ANCHOR).select("chr", "bin_1", "bin_2", "pets", "span", F.round("log_span", 6).alias("log_span"), F.round("log_pets", 6).alias("log_pets"))
+
+
 def _log_spans(s, d):
     spans = C.spans(frags(s, d), ["gid", "chr"]).filter("span > 0")
     return spans.select(F.least("n", F.lit(16)).alias("class"), F.log10(F.col("span").cast("double")).alias("log_span"))
@@ -68,7 +73,7 @@ def report_scsprite(s, d):
     return report("scsprite", _barcoded(s, d), {"dedup": C.dedup(frags(s, d).select("gid", "idx", *C.FRAGMENT), ["gid"], C.FRAGMENT)})
 
 
-QUERIES = {f.__name__: f for f in (loop_span_pets, span_density, span_mode, fraglen_mode, report_rna, report_scatac, report_scsprite)}
+QUERIES = {f.__name__: f for f in (loop_span_pets, loop_span_pets_all, span_density, span_mode, fraglen_mode, report_rna, report_scatac, report_scsprite)}
 
 _RD = "rd as (select count(*) n, count_if(seq = truth) k, count(distinct cell) c, count(distinct gene) x from reads)"
 
@@ -91,6 +96,8 @@ SQL = {
     + _report_sql("gid", _FIGURE.format("Cell_count_at_fastq", "c", "rd") + _FIGURE.format("Complex_count_at_fastq", "x", "rd") + _FIGURE.format("Total_qualified_fragment", "q", "dd")),
     "loop_span_pets": PAIRS_SQL + f", l as (select chr, (start_1 + end_1) // {2 * ANCHOR} bin_1, (start_2 + end_2) // {2 * ANCHOR} bin_2, count(*) pets, cast(max(floor((start_2 + end_2 - start_1 - end_1) / 2)) as bigint) span from pr group by all)"
     " select *, round(case when span > 0 then log10(span) end, 6) log_span, round(log10(pets), 6) log_pets from l",
+    "loop_span_pets_all": ALL_PAIRS_SQL + f", l as (select chr, s1 // {2 * ANCHOR} bin_1, s2 // {2 * ANCHOR} bin_2, count(*) pets, cast(max((s2 - s1) // 2) as bigint) span from pa group by all)"
+    " select *, round(case when span > 0 then log10(span) end, 6) log_span, round(log10(pets), 6) log_pets from l",
     "span_density": with_views(
         FRAGS,
         "sp as (select least(count(*), 16) cls, log10(max(end_pos) - min(start_pos)) v from frags group by gid, chr having max(end_pos) > min(start_pos))",

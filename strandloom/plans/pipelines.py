@@ -73,7 +73,7 @@ def refine(alignments: DataFrame, name: str, blacklist: DataFrame | None = None,
         kept = C.without_names(merged.withColumn("idx", F.col("start_pos")), "chr")
         out["regions"] = C.split_by_chromosome(kept, "gid")
         out["pairs"] = C.pairs_within(out["regions"], ["sub_id"], 1_000_000)
-        out["contacts"] = G.contact_bins(C.juice(out["pairs"]), [2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000, 1_000])
+        out["contacts"] = G.group_contacts(out["regions"], ["sub_id"], [2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000, 1_000])
         out["spans"] = C.spans(out["regions"], ["sub_id"])
         out["histogram"] = C.count_histogram(out["regions"], "sub_id")
     if method.matrix:

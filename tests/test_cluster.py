@@ -1,5 +1,9 @@
 """Golden cases of the cluster operators."""
 
+import random
+from collections import Counter
+from itertools import combinations
+
 import pytest
 
 from strandloom.operators import cluster as C
@@ -87,3 +91,26 @@ def test_mask_and_union(spark):
     assert [r.chr for r in C.without_names(df, "chr").collect()] == ["chr1"]
     both = C.labelled_union({"DNA": df.limit(2), "RNA": df.limit(1)})
     assert sorted(r.type for r in both.collect()) == ["DNA", "DNA", "RNA"]
+
+
+def test_group_contacts_know_no_reach(spark, monkeypatch):
+    from strandloom.operators import genomic as G
+
+    monkeypatch.setattr(G, "SLICE", 3)
+    rnd = random.Random(4)
+    data = [(rnd.choice("gh"), 0, rnd.choice(("chr1", "chr2")), s, s + rnd.randint(0, 900)) for s in (rnd.choice((rnd.randint(0, 3000), rnd.randint(0, 90_000_000))) for _ in range(80))]
+    data += [("g", 0, "chr1", 5, 9)] * 2
+    want = Counter()
+    spans = {}
+    for a, b in combinations(data, 2):
+        if a[0] == b[0] and a[2] == b[2]:
+            m = sorted((a[3] + a[4], b[3] + b[4]))
+            for r in (1000, 2500, 5000, 1_000_000):
+                want[r, a[2][3:], m[0] // 2 // r, a[2][3:], m[1] // 2 // r] += 1
+            at = (a[2], m[0] // 2 // 5000, m[1] // 2 // 5000)
+            spans[at] = max(spans.get(at, 0), (m[1] - m[0]) // 2)
+    df = spark.createDataFrame(data, SCHEMA)
+    got = rows(G.group_contacts(df, ["gid"], [5000, 1000, 2500, 1_000_000]))
+    assert {tuple(r)[:5]: tuple(r)[5] for r in got} == want and len(got) == len(want)
+    assert {(r.chr, r.bin_1, r.bin_2): r.span for r in G.group_bins(df, ["gid"], 5000).collect()} == spans and max(spans.values()) > 10_000_000
+    assert rows(G.group_contacts(df.limit(0), ["gid"], [1000])) == []
