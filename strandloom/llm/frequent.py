@@ -42,6 +42,8 @@ def _add(parts: list[tuple[pa.Array, np.ndarray]], counters: int) -> tuple[pa.Ar
 
 
 def _rows(kind: str, node: int, values: pa.Array, low: np.ndarray, deducted: int) -> pa.RecordBatch:
+    """The values, and a row without one that keeps the deduction where no value is left."""
+    values, low = pa.concat_arrays([values, pa.nulls(1, pa.string())]), np.append(low, 0)
     n = len(low)
     return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), pa.array(np.full(n, node)), values, pa.array(low), pa.array(np.full(n, deducted))], schema=_ARROW)
 
@@ -78,7 +80,8 @@ def _merge(counters: int):
     def merge(key: tuple, parts: pa.Table) -> pa.Table:
         kind, node = (k.as_py() for k in key)
         by_source = parts.group_by("source").aggregate([("deducted", "max")])
-        values, low, cut = _add([(parts["value"].combine_chunks(), parts["low"].to_numpy())], counters)
+        named = parts.filter(pc.is_valid(parts["value"]))
+        values, low, cut = _add([(named["value"].combine_chunks(), named["low"].to_numpy())], counters)
         return pa.Table.from_batches([_rows(kind, node, values, low, cut + int(pc.sum(by_source["deducted_max"]).as_py()))])
 
     return merge
@@ -98,7 +101,7 @@ def summary(df: DataFrame, columns: dict[str, str], counters: int) -> DataFrame:
         nodes = -(-nodes // FAN_IN)
         up = out.select("kind", F.expr(f"node div {FAN_IN}").alias("node"), "value", "low", "deducted", F.col("node").alias("source"))
         out = up.groupBy("kind", "node").applyInArrow(_merge(counters), _SCHEMA)
-    return out.select("kind", "value", "low", (F.col("low") + F.col("deducted")).alias("high"))
+    return out.filter("value is not null").select("kind", "value", "low", (F.col("low") + F.col("deducted")).alias("high"))
 
 
 def frequent(df: DataFrame, columns: dict[str, str], one_in: int, counters: int | None = None) -> DataFrame:

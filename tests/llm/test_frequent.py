@@ -40,3 +40,20 @@ def test_empty_and_null(spark):
 def test_ties_all_come_out(spark):
     rows = [(f"t{i}",) for i in range(10)] * 3
     assert len(frequent(make(spark, rows, 5), {"k": "v"}, 10).collect()) == 10
+
+
+def test_deduction_of_a_summary_without_values(spark):
+    """v stands 99 times in one partition and once in the other, whose values are all distinct."""
+    common = [(0, "v")] * 99 + [(0, f"w{i % 10}") for i in range(19_901)]
+    distinct = [(1, "v")] + [(1, f"d{i}") for i in range(19_999)]
+    df = spark.createDataFrame(common + distinct, "part int, v string").repartitionByRange(2, "part")
+    found = {r.value: (r.n, r.low, r.high) for r in frequent(df.select("v"), {"k": "v"}, 400, counters=4000).collect()}
+    assert sorted(found) == ["v", *sorted(f"w{i}" for i in range(10))] and found["v"][0] == 100
+    assert all(low <= n <= high for n, low, high in found.values())
+
+
+def test_deduction_of_an_emptied_merge(spark):
+    """The leaves of the first merge keep all their values, the merge drops them all; v stands once there and 63 times elsewhere."""
+    df = spark.range(0, 6400, 1, 64).selectExpr("case when id = 0 or id between 3200 and 3262 then 'v' when id < 3200 then concat('d', id) else concat('w', id % 31) end v")
+    found = {r.value: r.n for r in frequent(df, {"k": "v"}, 100, counters=100).collect()}
+    assert found["v"] == 64 and len(found) == 32
