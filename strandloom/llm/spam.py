@@ -68,21 +68,28 @@ _WORD = re.compile(r"[^\W\d_]+|[0-9]+")
 
 
 def words_of(text: str) -> tuple[list[str], int]:
-    """Lower-case words of a page without markup, and the number of its links and tags."""
+    """Lower-case words of a page without markup, and the number of its links and tags.
+
+    A page with links and no other word is a list of links: these are its words then.
+    """
+    listed: list[str] = []
     if "<" in text:
-        links = len(_HREF.findall(text))
+        listed = _HREF.findall(text)
+        links = len(listed)
         text = _MARK.sub(" ", _HREF.sub("", text))
     else:
         links = 0
     text = _BREAK.sub("", text)
     if "://" in text or "www." in text:
-        text, n = _URL.subn(" ", text)
-        links += n
+        bare = _URL.findall(text)
+        text = _URL.sub(" ", text)
+        listed += bare
+        links += len(bare)
     if "#" in text:
         tags = _TAG.findall(text)
         links += len(tags)
         text = _TAG.sub(lambda m: " " + _HUMP.sub(" ", m.group(0)[1:]) + " ", text)
-    return _WORD.findall(text.lower()), links
+    return _WORD.findall(text.lower()) or [x.lower() for x in listed], links
 
 
 class Vocabulary:
@@ -146,7 +153,7 @@ def describe(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
 
 
 def features(docs: DataFrame, key: str, text: str, lang: str | None = None) -> DataFrame:
-    """`key`, `language`, `words` and the FEATURES of every document with a word.
+    """`key`, `language`, `words` and the FEATURES of every document with a word or a link.
 
     The language is that of the function words (then `certain`); without enough of them it is the
     one in column `lang` if that is known, else `all`.
@@ -248,10 +255,10 @@ def fit(described: DataFrame, key: str, labels: DataFrame, models: dict, labelle
 
 
 def stuffed(docs: DataFrame, key: str, labels: DataFrame, text: str = "text", lang: str | None = "lang") -> DataFrame:
-    """Every document with words: `key`, `language`, `words`, features, `distance`, `along`, `spam` (boolean).
+    """Every document with words or links: `key`, `language`, `words`, features, `distance`, `along`, `spam` (boolean).
 
-    labels: `key` and `label` ('spam' or anything else). Null and empty texts, and texts without a
-    letter, give no row. Statistics use whole texts of all documents; only the fit of directions and
+    labels: `key` and `label` ('spam' or anything else). Null and empty texts, and texts with
+    neither a word nor a link, give no row. Statistics use whole texts of all documents; only the fit of directions and
     threshold is on the bounded sample of reviewed pages. Empty tables give no rows.
     """
     described = materialise(features(docs, key, text, lang), "features")

@@ -89,3 +89,18 @@ def test_features_do_not_depend_on_neighbours():
     for i, t in enumerate(texts):
         m, one, y = S.describe([t], S.Vocabulary())
         assert m[0] == n[i] and one[0] == language[i] and np.allclose(x[i], y[0], equal_nan=True)
+
+
+def test_pages_of_bare_links(spark):
+    rows, truth = corpus()
+    lists = [
+        "\n".join(f"https://shop{i}.example" for i in range(30)),
+        " ".join(f"www.mall{i}.example" for i in range(30)),
+        "".join(f'<a href="https://shop{i}.example/"><img src="{i}.png"></a>' for i in range(30)),
+        "\n".join(["https://one.example"] * 30),
+    ]
+    docs = spark.createDataFrame(rows + [(3000 + i, t, None, "x", 1.0) for i, t in enumerate(lists)] + [(3100, "<br> ... <hr>", None, "x", 1.0)], SCHEMA)
+    labels = spark.createDataFrame([(i, "spam" if truth[i] else "ok") for i in range(0, 900, 5)], "doc_id bigint, label string")
+    for known in (labels, labels.limit(0)):
+        got = {r.doc_id: r for r in S.stuffed(docs, "doc_id", known).collect()}
+        assert all(got[3000 + i].spam and got[3000 + i].words == 30 and got[3000 + i].density == 1.0 for i in range(4)) and 3100 not in got
