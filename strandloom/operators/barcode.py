@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.storage import maybe_broadcast
+from strandloom.storage import materialise, maybe_broadcast
 
 LETTERS = "ACGT"
 #: A candidate is accepted if it holds this share of the weights.
@@ -71,15 +71,18 @@ def correct_sparse(reads: DataFrame, whitelist: DataFrame, seq: str, mismatches:
     return reads.join(maybe_broadcast(table), seq, "left")
 
 
-def candidates(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: str) -> DataFrame:
-    """key, ord, q: barcodes one substitution away from a read without exact hit, with the Phred score there.
+def candidates(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: str, distance: int = 1) -> DataFrame:
+    """key, ord, q: barcodes exactly `distance` substitutions away from a read without exact hit, with the sum of the Phred scores there.
 
-    The read is expanded, so that an N in it may stand for any letter.
+    The read is expanded, so that an N in it may stand for any letter. Places are changed from left
+    to right, so that each variant comes once.
     """
     missed = reads.join(maybe_broadcast(whitelist.select(F.col("seq").alias(seq))), seq, "left_anti")
-    variants = missed.select(key, qual, F.explode(neighbours(F.col(seq))).alias("v"))
-    score = F.ascii(F.substr(F.col(qual), F.col("v.place"), F.lit(1))) - 33
-    return variants.select(key, F.col("v.variant").alias("seq"), score.cast("bigint").alias("q")).join(maybe_broadcast(whitelist), "seq").select(key, "ord", "q")
+    variants = missed.select(key, F.col(qual).alias("_qual"), F.explode(neighbours(F.col(seq))).alias("v")).select(key, "_qual", "v", F.expr("0L").alias("_before"))
+    score = (F.ascii(F.substr("_qual", F.col("v.place"), F.lit(1))) - 33).cast("bigint")
+    for _ in range(distance - 1):
+        variants = variants.select(key, "_qual", (F.col("_before") + score).alias("_before"), F.explode(F.filter(neighbours(F.col("v.variant")), lambda w: w["place"] > F.col("v.place"))).alias("v"))
+    return variants.select(key, F.col("v.variant").alias("seq"), (F.col("_before") + score).alias("q")).join(maybe_broadcast(whitelist), "seq").select(key, "ord", "q")
 
 
 def decide(found: DataFrame, key: str, mode: str, priors: DataFrame | None = None) -> DataFrame:
@@ -115,15 +118,27 @@ def exact_counts(reads: DataFrame, whitelist: DataFrame, seq: str) -> DataFrame:
     return reads.join(maybe_broadcast(whitelist.select(F.col("seq").alias(seq), "ord")), seq).groupBy("ord").agg(F.count(F.lit(1)).alias("prior"))
 
 
-def correct(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: str, mode: str = "default") -> DataFrame:
+def correct(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: str, mode: str = "default", mismatches: int = 1) -> DataFrame:
     """Two rounds: exact hits first, whose counts are the priors; then what was missed, by `mode`.
 
+    The second round goes through the distances 1 to `mismatches`: at each only the reads that the ones
+    before left undecided are expanded, and all candidates found so far are weighed together.
     Columns key, ord, round (0 or 1). Reads without a barcode drop out.
     """
-    exact = reads.join(maybe_broadcast(whitelist.select(F.col("seq").alias(seq), "ord")), seq).select(key, "ord", F.lit(0).alias("round"))
+    out = reads.join(maybe_broadcast(whitelist.select(F.col("seq").alias(seq), "ord")), seq).select(key, "ord", F.lit(0).alias("round"))
     priors = exact_counts(reads, whitelist, seq) if mode in ("default", "atact") else None
-    later = decide(candidates(reads, whitelist, key, seq, qual), key, mode, priors).select(key, "ord", F.lit(1).alias("round"))
-    return exact.unionByName(later)
+    found = None
+    for distance in range(1, mismatches + 1):
+        level = candidates(reads, whitelist, key, seq, qual, distance)
+        found = level if found is None else found.unionByName(level)
+        last = distance == mismatches
+        found = found if last else materialise(found, "candidates")
+        later = decide(found, key, mode, priors).select(key, "ord", F.lit(1).alias("round"))
+        if not last:
+            later = materialise(later, "decided")
+            reads, found = (x.join(later.select(key), key, "left_anti") for x in (reads, found))
+        out = out.unionByName(later)
+    return out
 
 
 def random_codes(reads: DataFrame, seq: str, kind: str) -> DataFrame:

@@ -107,3 +107,14 @@ def test_patterns(spark):
 
 def test_random_codes(spark):
     assert {r.code: r.n for r in B.random_codes(reads(spark, ["AC", "AC", "G", None]), "seq", "R").collect()} == {"R:AC": 2, "R:G": 1}
+
+
+def test_correct_two_substitutions_away(spark):
+    wl = spark.createDataFrame([(0, "AAAAAA"), (1, "CCCCCC"), (2, "AACCAA")], "ord bigint, seq string")
+    reads = [("exact", "CCCCCC"), ("one", "CCGCCC"), ("two", "CGCCTC"), ("n", "CNCCTC"), ("between", "AACGAA"), ("three", "CGTGCC")]
+    df = spark.createDataFrame([(k, s, "!+5?II") for k, s in reads], "rid string, seq string, qual string")
+    assert sorted(map(tuple, B.candidates(df.filter("rid in ('two', 'between')"), wl, "rid", "seq", "qual", 2).collect())) == [("between", 0, 20 + 30), ("two", 1, 10 + 40)]
+    for mode in ("default", "minq", "rnat", "fcfg"):
+        got = {r.rid: (r.ord, r.round) for r in B.correct(df, wl, "rid", "seq", "qual", mode, mismatches=2).collect()}
+        assert got == {"exact": (1, 0), "one": (1, 1), "two": (1, 1), "n": (1, 1), "between": (2, 1)}
+        assert {r.rid for r in B.correct(df, wl, "rid", "seq", "qual", mode).collect()} == {"exact", "one", "between"}
