@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.frequent import frequent
 from strandloom.llm.leaks import leaks
-from strandloom.llm.pairs import together
+from strandloom.llm.pairs import SIGNIFICANT, together
 from strandloom.llm.quantiles import RANK_ERROR, build, merge, percentiles, ranks, regroup
 from strandloom.llm.spam import stuffed
 from strandloom.llm.tokens import encode
@@ -104,13 +104,14 @@ def places(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of places in at least 1% of the records, with lift and log-likelihood ratio."""
-    return together(places(spark, d), ["lib", "complex"], "place", PAIR_ONE_IN)
+    """Pairs of places in at least 1% of the records that meet more or less often than by chance (at 0.1%)."""
+    found = together(places(spark, d), ["lib", "complex"], "place", PAIR_ONE_IN, SIGNIFICANT)
+    return found.select("item_a", "item_b", "n_ab", "n_a", "n_b", "n", F.round("lift", 6).alias("lift"), F.round("llr", 3).alias("llr"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs that meet at least three times as often as by chance."""
-    return p5_pairs(spark, d).filter(F.col("n_ab") * F.col("n") >= PAIR_LIFT * F.col("n_a") * F.col("n_b")).select("item_a", "item_b")
+    return together(places(spark, d), ["lib", "complex"], "place", PAIR_ONE_IN).filter(F.col("n_ab") * F.col("n") >= PAIR_LIFT * F.col("n_a") * F.col("n_b")).select("item_a", "item_b")
 
 
 def tokenizer(folder: str = TOKENIZERS) -> tuple[str, str]:
@@ -168,6 +169,9 @@ _P5 = (
     " r as (select item_a, item_b, n_ab, sa.k n_a, sb.k n_b, n from ab join s sa on sa.p = item_a join s sb on sb.p = item_b cross join t where n_ab * 100 >= n)"
 )
 
+_XLX = lambda x: f"(case when {x} > 0 then ({x}) * ln(cast({x} as double)) else 0 end)"
+_LLR = "greatest(0, 2 * (" + " + ".join(_XLX(x) for x in ("n_ab", "n_a - n_ab", "n_b - n_ab", "n - n_a - n_b + n_ab")) + " - " + " - ".join(_XLX(x) for x in ("n_a", "n - n_a", "n_b", "n - n_b")) + " + " + _XLX("n") + "))"
+
 
 def _words_sql(source: str, key: str) -> str:
     clean = "regexp_replace(regexp_replace(nfc_normalize(text), '-\\r?\\n', '', 'g'), '\\([^()\\[\\]]*\\)|\\[[^()\\[\\]]*\\]', ' ', 'g')"
@@ -180,5 +184,6 @@ SQL = {
     "p4_found": _P4 + " select lib from m join r using (lib) where abs(reported - median) * 10 > median",
     "p4_medians": _P4 + " select lib, n, median, reported from m join r using (lib) where reported is not null",
     "p5_found": _P5 + " select item_a, item_b from r where n_ab * n >= 3 * n_a * n_b",
+    "p5_pairs": _P5 + f", g as (select *, {_LLR} g from r) select item_a, item_b, n_ab, n_a, n_b, n, round(n_ab * n / (n_a * n_b), 6) lift, round(g, 3) llr from g where g >= {SIGNIFICANT}",
     "p7_found": "with d as (select doc_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("documents", "doc_id") + "), e as (select item_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("eval_items", "item_id") + ") select distinct doc_id, item_id from d join e using (s)",
 }

@@ -57,3 +57,28 @@ def test_empty_single_and_clashing_columns(spark):
 def test_very_long_items(spark):
     a, b = "a" * 30_000, "b" * 30_000
     assert [(r.item_a, r.item_b) for r in together(make(spark, [("L", 1, a), ("L", 1, b)]), ["lib", "rec"], "item", 1).collect()] == [(a, b)]
+
+
+def test_stripes_cut_in_parts_give_the_same(spark):
+    rnd = random.Random(5)
+    rows = [("L", rnd.randint(1, 80), f"p{rnd.randint(0, 40)}") for _ in range(1500)]
+    whole = together(make(spark, rows), ["lib", "rec"], "item", 40).collect()
+    parts = together(make(spark, rows), ["lib", "rec"], "item", 40, stripe=7).collect()
+    assert sorted(whole) == sorted(parts) and {(r.item_a, r.item_b): (r.n_ab, r.n_a, r.n_b, r.n) for r in parts} == brute(rows, 40)
+
+
+def test_stripes_are_added_across_batches():
+    import pyarrow as pa
+
+    from strandloom.llm import pairs as P
+
+    stripe = lambda *rows: pa.RecordBatch.from_pylist([{"item": i, "part": p, "neighbours": list(n), "counts": c} for i, p, n, c in rows], pa.schema([("item", pa.string()), ("part", pa.int64()), ("neighbours", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]))
+    given = [stripe(("a", 0, "bc", [1, 2]), ("a", 0, "b", [4])), stripe(("a", 0, "cd", [1, 1])), stripe(("a", 0, "d", [5]), ("a", 1, "x", [1]), ("b", 0, "c", [2])), stripe(), stripe(("b", 0, "c", [3]))]
+    got = [tuple(r.values()) for b in P._add_stripes(iter(given)) for r in b.to_pylist()]
+    assert sorted(got) == [("a", "b", 5), ("a", "c", 3), ("a", "d", 6), ("a", "x", 1), ("b", "c", 5)]
+
+
+def test_only_significant_pairs(spark):
+    rows = [("L", i, x) for i in range(60) for x in ("all", "even" if i % 2 == 0 else "odd", *(["rare", "with"] if i < 6 else []))]
+    every, some = (together(make(spark, rows), ["lib", "rec"], "item", 20, significant=s).collect() for s in (None, 10.83))
+    assert len(every) > len(some) and {(r.item_a, r.item_b) for r in some} == {(r.item_a, r.item_b) for r in every if r.llr >= 10.83} and ("rare", "with") in {(r.item_a, r.item_b) for r in some}
