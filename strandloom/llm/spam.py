@@ -1,12 +1,14 @@
 """Keyword-stuffed pages, tag clouds and link lists among documents.
 
 Each text is described by four features: links and tags per word (density), the lack of entropy of
-its words, the share of its words that return within REACH words (repetition; function words, numbers and the words
-of the house's own lists don't count), and the lack of
-function words of its language. Per language, centre and scatter of the features are robust: medians,
-median absolute deviations, and the covariance of values clipped at CLIP deviations, all over all
-documents. A page is flagged if its Mahalanobis distance is beyond CUTOFF and its deviation points
-in a spam direction: lists of the house lie far out too, but elsewhere.
+its words, the share of its words that return within REACH words (repetition; function words, short
+words, numbers and listed words don't count), and the lack of function words of its language. Listed
+words are learned: those that return in reviewed pages that are no spam and hardly in spam. Per language, centre and scatter of the
+features are robust: medians, median absolute deviations, and the covariance of values clipped at
+CLIP deviations, with a tenth of the identity added, all over all documents. (Clipping bounds what
+any page can do to the covariance; it isn't an estimate of high breakdown such as MCD.) A page is
+flagged if its Mahalanobis distance is beyond CUTOFF and its deviation points in a spam direction:
+lists of the house lie far out too, but elsewhere.
 
 The directions and the smallest deviation along them come from reviewed pages (at most LABELLED of
 them are used to fit; with under FEW spam pages of a kind the built-in axis and threshold hold).
@@ -33,10 +35,12 @@ CUTOFF = 18.47
 #: Smallest scale of a feature, for those that are zero in most documents.
 FLOOR = 0.02
 LABELLED, FEW = 20_000, 5
+#: A word is a listed one if it returns in at least so many reviewed pages that are no spam, and for each spam page in so many others.
+LISTED, LISTED_TO_SPAM = 2, 4
 #: A deviation points in a spam direction if that component is this share of the squared distance:
 #: the fit takes the smallest share that tells reviewed pages apart best.
 POINTING = (0.5, 0.6, 0.7, 0.8)
-#: Where too few pages were reviewed.
+#: Where too few pages were reviewed. No words are listed then, so lists of the house are taken for spam.
 DEFAULT_THRESHOLD = 8.0
 
 # Frequent function words of the three languages.
@@ -46,18 +50,6 @@ FUNCTION_WORDS = {
     "fr": "au aux avec c ce ces cette d dans de des du elle en est et il ils je l la le les leur lui mais n ne nos notre nous on ont ou par pas plus pour qu que qui s sa sans se ses si son sont sur un une vos vous y à".split(),
 }
 
-# Words of the lists that a house makes itself (votes, agendas, papers, answers).
-HOUSE_WORDS = frozenset(
-    """abstaining abstentions adjourned against agreed amendment answer ayes bill call committee concerning debate
-    division estimates favour follows item laid minutes motion move noes objection oral order ordered paper papers
-    petition policy previous question questions read reading rejected remind members report roll second sitting stands
-    supplementary suspended taken those time urgent vote votes withdrawn written
-    abstimmung anfrage antrag antwort ausschuss bericht einspruch enthaltungen gegen ja nein lesung punkt sitzung
-    stimmen tagesordnung vorlage
-    abstentions adopté amendement commission contre jour lecture motion ordre point pour question rapport rejeté
-    scrutin séance vote""".split()
-)
-
 _URL = re.compile(r"https?://[^\s/<>\"')\]]*|www\.[^\s/<>\"')\]]*", re.IGNORECASE)
 _BREAK = re.compile(r"-[ \t]*\r?\n")
 _MARK = re.compile(r"<[^<>]*>")
@@ -97,8 +89,8 @@ class Vocabulary:
 
     LANGUAGES = tuple(FUNCTION_WORDS)
 
-    def __init__(self):
-        self.sets = [frozenset(FUNCTION_WORDS[k]) for k in self.LANGUAGES]
+    def __init__(self, listed: frozenset[str] = frozenset()):
+        self.sets, self.listed = [frozenset(FUNCTION_WORDS[k]) for k in self.LANGUAGES], listed
         self.clear()
 
     def clear(self) -> None:
@@ -115,10 +107,19 @@ class Vocabulary:
         if fresh:
             flags = np.array([[w in s for s in self.sets] for w in fresh], bool)
             self.function = np.concatenate([self.function, flags])
-            self.content = np.concatenate([self.content, np.array([len(w) > 3 and w not in HOUSE_WORDS and not w.isdigit() for w in fresh]) & ~flags.any(axis=1)])
+            self.content = np.concatenate([self.content, np.array([len(w) > 3 and w not in self.listed and not w.isdigit() for w in fresh]) & ~flags.any(axis=1)])
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
+def _near(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether the same word stood within REACH words before, in the same text."""
+    at = np.arange(len(ids)) + doc * (REACH + 1)
+    order = np.argsort(ids, kind="stable")
+    near = np.zeros(len(ids), bool)
+    near[order[1:]] = (ids[order][1:] == ids[order][:-1]) & (np.diff(at[order]) <= REACH)
+    return near
+
+
 def describe(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, language by function words or -1, features) of each text; no words, no features (nan)."""
     found = [words_of(t) if t else ([], 0) for t in texts]
@@ -128,11 +129,7 @@ def describe(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
     doc = np.repeat(np.arange(len(found)), n)
     d = len(found)
     function = np.stack([np.bincount(doc, vocabulary.function[ids, j], d) for j in range(len(vocabulary.sets))], axis=1)
-    at = np.arange(len(ids)) + doc * (REACH + 1)
-    order = np.argsort(ids, kind="stable")
-    near = np.zeros(len(ids), bool)
-    near[order[1:]] = (ids[order][1:] == ids[order][:-1]) & (np.diff(at[order]) <= REACH)
-    returning = np.bincount(doc, near & vocabulary.content[ids], d)
+    returning = np.bincount(doc, _near(ids, doc) & vocabulary.content[ids], d)
     pairs, times = np.unique(doc * (len(vocabulary.number) + 1) + ids, return_counts=True)
     own = pairs // (len(vocabulary.number) + 1)
     size = np.maximum(n, 1)
@@ -152,7 +149,34 @@ def describe(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
     return n, np.where(n > 0, language, -1), features
 
 
-def features(docs: DataFrame, key: str, text: str, lang: str | None = None) -> DataFrame:
+def _reviewed(labels: DataFrame, key: str, labelled: int) -> DataFrame:
+    return F.broadcast(labels.select(key, (F.col("label") == "spam").alias("spam")).dropna().orderBy(F.xxhash64(key)).limit(labelled))
+
+
+def listed_words(docs: DataFrame, key: str, text: str, labels: DataFrame, labelled: int = LABELLED) -> frozenset[str]:
+    """Words that return in at least LISTED reviewed pages that are no spam, LISTED_TO_SPAM for each spam page.
+
+    At most `labelled` reviewed pages are read, which bounds the words that come back.
+    """
+
+    def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spam, words = [], []
+            for t, s in zip(batch.column("text").to_pylist(), batch.column("spam").to_pylist()):
+                vocabulary, own = Vocabulary(), words_of(t)[0]
+                ids = vocabulary.numbers(own)
+                found = np.unique(ids[_near(ids, np.zeros(len(ids), np.int64)) & vocabulary.content[ids]])
+                names = list(vocabulary.number)
+                words += [names[i] for i in found]
+                spam += [s] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(spam, pa.bool_())], ["word", "spam"])
+
+    pages = docs.select(F.col(key), F.col(text).alias("text")).filter("text is not null and text <> ''").join(_reviewed(labels, key, labelled), key).select("text", "spam")
+    counted = pages.mapInArrow(returning, "word string, spam boolean").groupBy("word").agg(F.count_if("spam").alias("spam"), F.count_if(~F.col("spam")).alias("other"))
+    return frozenset(r.word for r in counted.filter((F.col("other") >= LISTED) & (F.col("other") >= F.col("spam") * LISTED_TO_SPAM)).collect())
+
+
+def features(docs: DataFrame, key: str, text: str, lang: str | None = None, listed: frozenset[str] = frozenset()) -> DataFrame:
     """`key`, `language`, `words` and the FEATURES of every document with a word or a link.
 
     The language is that of the function words (then `certain`); without enough of them it is the
@@ -164,7 +188,7 @@ def features(docs: DataFrame, key: str, text: str, lang: str | None = None) -> D
     names = list(Vocabulary.LANGUAGES)
 
     def describe_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
+        vocabulary = Vocabulary(listed)
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
@@ -225,16 +249,17 @@ def scored(described: DataFrame, models: dict, directions: list[np.ndarray]) ->
 
 def fit(described: DataFrame, key: str, labels: DataFrame, models: dict, labelled: int = LABELLED) -> tuple[list[np.ndarray], float, float]:
     """From reviewed pages: spam directions (in scaled features), the threshold along them, the share in them."""
-    sample = labels.select(key, (F.col("label") == "spam").alias("spam")).dropna().orderBy(F.xxhash64(key)).limit(labelled)
-    rows = described.join(F.broadcast(sample), key).select("language", "spam", *FEATURES).collect()
+    rows = described.join(_reviewed(labels, key, labelled), key).select("language", "spam", *FEATURES).collect()
     directions = [np.array([0.0, 0.5, 1.0, 0.5]), np.array([1.0, 0.0, 0.0, 0.5])]
     if not rows:
         return directions, DEFAULT_THRESHOLD, POINTING[0]
     spam = np.array([r.spam for r in rows])
     own = [models.get(r.language, models["all"]) for r in rows]
     z = np.array([(np.array([r[f] for f in FEATURES]) - m[0]) / m[1] for r, m in zip(rows, own)])
-    linked = np.array([r.density for r in rows]) > 0.05
-    for j, group in enumerate((spam & ~linked, spam & linked)):
+    # a reviewed page is of the kind whose built-in axis its deviation points along more
+    kind = np.array([np.argmax([x @ m[2] @ u / math.sqrt(u @ m[2] @ u) for u in directions]) for x, m in zip(z, own)])
+    for j in range(len(directions)):
+        group = spam & (kind == j)
         if group.sum() >= FEW:
             mean = np.median(z[group], axis=0)
             directions[j] = mean / np.linalg.norm(mean)
@@ -258,10 +283,11 @@ def stuffed(docs: DataFrame, key: str, labels: DataFrame, text: str = "text", la
     """Every document with words or links: `key`, `language`, `words`, features, `distance`, `along`, `spam` (boolean).
 
     labels: `key` and `label` ('spam' or anything else). Null and empty texts, and texts with
-    neither a word nor a link, give no row. Statistics use whole texts of all documents; only the fit of directions and
-    threshold is on the bounded sample of reviewed pages. Empty tables give no rows.
+    neither a word nor a link, give no row. Statistics use whole texts of all documents; only the
+    listed words and the fit of directions and threshold come from the bounded sample of reviewed
+    pages; without reviewed pages lists of the house can't be told from spam. Empty tables give no rows.
     """
-    described = materialise(features(docs, key, text, lang), "features")
+    described = materialise(features(docs, key, text, lang, listed_words(docs, key, text, labels)), "features")
     models = robust(described)
     if not models:
         return described.drop("certain").select("*", F.lit(0.0).alias("distance"), F.lit(0.0).alias("along"), F.lit(False).alias("spam"))

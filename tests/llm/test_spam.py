@@ -69,7 +69,8 @@ def test_accuracy_held_out(spark):
     assert right / sum(got[i] for i in held) >= 0.95 and right / sum(truth[i] for i in held) >= 0.95
     assert not got[2004] and not got[2002] and not {2000, 2001, 2003} & set(got)
     few = {r.doc_id: r.spam for r in S.stuffed(docs, "doc_id", labels.limit(0)).collect()}
-    assert sum(few[i] == truth[i] for i in truth) / len(truth) >= 0.95
+    told = [i for i, text, *_ in rows if not text.startswith(("Division", "Papers"))]  # what a list of the house is, only reviewed pages say
+    assert sum(few[i] == truth[i] for i in told) / len(told) >= 0.95
 
 
 def test_empty_tables(spark):
@@ -104,3 +105,12 @@ def test_pages_of_bare_links(spark):
     for known in (labels, labels.limit(0)):
         got = {r.doc_id: r for r in S.stuffed(docs, "doc_id", known).collect()}
         assert all(got[3000 + i].spam and got[3000 + i].words == 30 and got[3000 + i].density == 1.0 for i in range(4)) and 3100 not in got
+
+
+def test_listed_words_come_from_reviewed_pages(spark):
+    page = "motion on harbour policy motion on school policy"
+    docs = spark.createDataFrame([(i, page) for i in range(4)] + [(4, "cheap taps cheap taps"), (5, "motion taps motion taps"), (6, None), (7, "")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "ok") for i in range(4)] + [(4, "spam"), (5, "spam"), (6, "ok"), (7, None), (9, "ok")], "doc_id bigint, label string")
+    assert S.listed_words(docs, "doc_id", "text", labels) == {"motion", "policy"}
+    assert S.listed_words(docs, "doc_id", "text", labels.filter("doc_id <> 3")) == {"policy"}  # motion: 3 pages to 1 of spam
+    assert S.listed_words(docs, "doc_id", "text", labels.limit(0)) == frozenset()
