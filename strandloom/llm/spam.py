@@ -4,11 +4,10 @@ Each text is described by four features: links and tags per word (density), the
 its words, the share of its words that return within REACH words (repetition; function words, short
 words, numbers and listed words don't count), and the lack of function words of its language. Listed
 words are learned: those that return in reviewed pages that are no spam and hardly in spam. Per language, centre and scatter of the
-features are robust: medians, median absolute deviations, and the covariance of values clipped at
-CLIP deviations, with a tenth of the identity added, all over all documents. (Clipping bounds what
-any page can do to the covariance; it isn't an estimate of high breakdown such as MCD.) A page is
-flagged if its Mahalanobis distance is beyond CUTOFF and its deviation points in a spam direction:
-lists of the house lie far out too, but elsewhere.
+features are robust: they begin with medians, median absolute deviations and clipped values and are
+then concentrated, as in the minimum covariance determinant, on the share of documents that lie
+nearest, over all documents. A page is flagged if its Mahalanobis distance is beyond CUTOFF and its
+deviation points in a spam direction: lists of the house lie far out too, but elsewhere.
 
 The directions and the smallest deviation along them come from reviewed pages (at most LABELLED of
 them are used to fit; with under FEW spam pages of a kind the built-in axis and threshold hold).
@@ -22,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.storage import materialise
@@ -30,6 +29,10 @@ from strandloom.storage import materialise
 FEATURES = ("density", "monotony", "repetition", "bareness")
 REACH = 25
 CLIP = 3.0
+#: Concentration steps, and the share of documents that each of them keeps.
+STEPS, KEPT = 3, 0.75
+#: Median of chi-squared with four degrees of freedom.
+CHI_MEDIAN = 3.357
 #: 99.9% quantile of chi-squared with four degrees of freedom.
 CUTOFF = 18.47
 #: Smallest scale of a feature, for those that are zero in most documents.
@@ -206,28 +209,50 @@ def robust(described: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.n
     """language -> (centre, scale, inverse scatter of the scaled features).
 
     A language is described by the documents that are certainly in it, `all` by every document: a
-    language that only pages without function words claim has no description of its own.
+    language that only pages without function words claim has no description of its own. Centre and
+    scatter begin with medians, deviations and clipped values; each of STEPS concentration steps takes
+    them anew from the KEPT share of documents that lie nearest. At last the scatter is scaled so that
+    the median squared distance is that of chi-squared.
     """
     groups = F.when(F.col("certain"), F.array("language", F.lit("all"))).otherwise(F.array(F.lit("all")))
     rows = described.select(F.explode(groups).alias("language"), *FEATURES)
-    centre = {r.language: np.array([r[f] for f in FEATURES]) for r in rows.groupBy("language").agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in FEATURES]).collect()}
+    medians = lambda df, columns: {r.language: np.array([r[f] for f in FEATURES]) for r in df.groupBy("language").agg(*[F.percentile_approx(c, 0.5, 10_000).alias(f) for f, c in zip(FEATURES, columns)]).collect()}
+    centre = medians(rows, FEATURES)
     if not centre:
         return {}
-
-    def by_language(values: dict[str, np.ndarray], j: int):
-        pairs = [x for k, v in values.items() for x in (F.lit(k), F.lit(float(v[j])))]
-        return F.create_map(*pairs)[F.col("language")]
-
-    off = [F.abs(F.col(f) - by_language(centre, j)).alias(f) for j, f in enumerate(FEATURES)]
-    scale = {r.language: np.maximum(1.4826 * np.array([r[f] for f in FEATURES]), FLOOR) for r in rows.select("language", *off).groupBy("language").agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in FEATURES]).collect()}
-    clipped = rows.select("language", *[F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), (F.col(f) - by_language(centre, j)) / by_language(scale, j))).alias(f) for j, f in enumerate(FEATURES)])
-    moments = [F.avg(f).alias(f) for f in FEATURES] + [F.avg(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in FEATURES for b in FEATURES]
-    out = {}
-    for r in clipped.groupBy("language").agg(*moments).collect():
-        mean = np.array([r[f] for f in FEATURES])
-        scatter = np.array([[r[f"{a}_{b}"] for b in FEATURES] for a in FEATURES]) - np.outer(mean, mean)
-        out[r.language] = centre[r.language], scale[r.language], np.linalg.inv(scatter + 0.1 * np.eye(len(FEATURES)))
-    return out
+    off = [F.abs(F.col(f) - _by_language({k: v[j] for k, v in centre.items()})) for j, f in enumerate(FEATURES)]
+    scale = {k: np.maximum(1.4826 * v, FLOOR) for k, v in medians(rows, off).items()}
+    z = [(F.col(f) - _by_language({k: v[j] for k, v in centre.items()})) / _by_language({k: v[j] for k, v in scale.items()}) for j, f in enumerate(FEATURES)]
+    scaled = rows.select("language", *[c.alias(f) for c, f in zip(z, FEATURES)])
+
+    def moments(df: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        found = df.groupBy("language").agg(*[F.avg(f).alias(f) for f in FEATURES], *[F.avg(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in FEATURES for b in FEATURES]).collect()
+        out = {}
+        for r in found:
+            mean = np.array([r[f] for f in FEATURES])
+            scatter = np.array([[r[f"{a}_{b}"] for b in FEATURES] for a in FEATURES]) - np.outer(mean, mean)
+            out[r.language] = mean, np.linalg.inv(scatter + 0.1 * np.eye(len(FEATURES)))
+        return out
+
+    at = {k: (np.zeros(len(FEATURES)), inverse) for k, (_, inverse) in moments(scaled.select("language", *[F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), F.col(f))).alias(f) for f in FEATURES])).items()}
+
+    def measured() -> DataFrame:
+        off = [F.col(f) - _by_language({k: v[0][j] for k, v in at.items()}) for j, f in enumerate(FEATURES)]
+        squared = sum(off[i] * off[j] * _by_language({k: v[1][i, j] for k, v in at.items()}) for i in range(len(off)) for j in range(len(off)))
+        return scaled.withColumn("_squared", squared)
+
+    def quantile(share: float) -> dict[str, float]:
+        return {r.language: r.q for r in measured().groupBy("language").agg(F.percentile_approx("_squared", share, 10_000).alias("q")).collect()}
+
+    for _ in range(STEPS):
+        nearest = measured().filter(F.col("_squared") <= _by_language(quantile(KEPT)))
+        at = moments(nearest)
+    half = quantile(0.5)
+    return {k: (centre[k] + mean * scale[k], scale[k], inverse * (CHI_MEDIAN / max(half[k], 1e-9))) for k, (mean, inverse) in at.items()}
+
+
+def _by_language(values: dict[str, float]) -> Column:
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))])[F.col("language")]
 
 
 def scored(described: DataFrame, models: dict, directions: list[np.ndarray]) -> DataFrame:
