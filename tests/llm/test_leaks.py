@@ -32,7 +32,7 @@ def test_found_equals_brute_force(spark):
     items = spark.createDataFrame([(i, t, "same") for i, t in ITEMS], "item_id bigint, text string, near string")
     got = {(r.doc_id, r.item_id) for r in L.leaks(df, "doc_id", items, "item_id").filter("same > 0").collect()}
     assert got == brute(rows, ITEMS) and {(900, 7), (901, 7), (902, 7), (905, 7), (None, 7)} <= got
-    blocks = {(r.doc_id, r.item_id) for r in L.leaks(df, "doc_id", items, "item_id", block_items=4).filter("same > 0").collect()}
+    blocks = {(r.doc_id, r.item_id) for r in L.leaks(df, "doc_id", items, "item_id", block_words=150).filter("same > 0").collect()}
     assert blocks == got
 
 
@@ -42,15 +42,58 @@ def test_words():
 
 def test_near_finds_every_pair_within_radius():
     rng = np.random.default_rng(3)
-    index = L.Index(ITEMS[:3], 12)
-    flips = []
-    for k in range(600):
-        bits = rng.choice(64, k % 6, replace=False)
-        flips.append(index.prints[k % len(index.prints)] ^ np.bitwise_or.reduce(np.array([1 << int(b) for b in bits], np.uint64), initial=np.uint64(0)))
-    prints = np.array(flips, np.uint64)
-    at, of = index.near(prints)
-    want = {(i, j) for i, p in enumerate(prints.tolist()) for j, q in enumerate(index.prints.tolist()) if bin(p ^ q).count("1") <= L.RADIUS}
-    assert set(zip(at.tolist(), of.tolist())) == want and len(at) == len(want)
+    for radius in (L.PART_RADIUS, L.ITEM_RADIUS):
+        own = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+        index = L.Index(own, np.arange(40), np.arange(40), 12, radius)
+        flips = []
+        for k in range(1200):
+            bits = rng.choice(64, k % (radius + 3), replace=False)
+            flips.append(own[k % 40] ^ np.bitwise_or.reduce(np.array([1 << int(b) for b in bits], np.uint64), initial=np.uint64(0)))
+        prints = np.array(flips, np.uint64)
+        at, of = index.near(prints)
+        want = {(i, j) for i, p in enumerate(prints.tolist()) for j, q in enumerate(own.tolist()) if bin(p ^ q).count("1") <= radius}
+        assert set(zip(at.tolist(), of.tolist())) == want and len(at) == len(want) >= 800
+
+
+def test_item_windows_meet_the_grid():
+    for size in [*range(0, 200), 1151, 1152, 1153, 5000]:
+        found = list(L.item_windows(size))
+        assert (size < 36) == (not found)
+        for length, firsts in found:
+            assert firsts.min() >= 0 and firsts.max() + length <= size and set(firsts % (length // L.GRID)) == set(range(length // L.GRID))
+
+
+def edited(words, every):
+    """A word in about `every` is replaced."""
+    return [f"x{rnd.randint(0, 999)}" if rnd.random() < 1 / every else w for w in words]
+
+
+def test_edited_passages_are_found(spark):
+    items = [(i, " ".join(rnd.choices(VOCABULARY, k=rnd.randint(60, 300)))) for i in range(60)]
+    rows, want = [], set()
+    for d in range(240):
+        i = d % 60
+        words = edited(items[i][1].split(), 60)
+        rows.append((d, " ".join(rnd.choices(VOCABULARY, k=rnd.randint(0, 90)) + words + rnd.choices(VOCABULARY, k=rnd.randint(0, 90)))))
+        if L._weighted(words, items[i][1].split()) >= L.SIMILARITY:
+            want.add((d, i))
+    df, passages = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in L.leaks(df, "doc_id", passages, "item_id").filter("near > 0").collect()}
+    assert len(want) > 150 and len(want & set(got)) >= 0.9 * len(want)
+    assert all(i == d % 60 and s >= L.SIMILARITY for (d, i), s in got.items()) and any(s < 1 for s in got.values())
+
+
+def test_recall_of_windows_at_the_similarity():
+    """Of windows with a few changed words that are still similar, nine in ten lie within the radius."""
+    hasher, met, similar = L.Hasher(), 0, 0
+    for length in (64, 128):
+        for _ in range(300):
+            a = rnd.choices(VOCABULARY, k=length)
+            b = edited(a, 50)
+            if a != b and L._weighted(a, b) >= L.SIMILARITY:
+                p, q = (int(L.fingerprints(hasher.shingles(w), length - L.SHINGLE + 1)[0]) for w in (a, b))
+                similar, met = similar + 1, met + (bin(p ^ q).count("1") <= L.ITEM_RADIUS)
+    assert similar > 100 and met >= 0.9 * similar
 
 
 def test_fingerprints_by_hand():
@@ -58,7 +101,8 @@ def test_fingerprints_by_hand():
     for w in (1, 3, 8, 11):
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).astype(int)
         want = np.packbits(np.array([bits[i : i + w].sum(axis=0) * 2 > w for i in range(40 - w + 1)]), axis=1).view(np.uint64).ravel()
-        assert (L.fingerprints(h, w) == want).all()
+        assert (L.fingerprints(h, w) == want).all() and (L.fingerprints_at(L.sums_of_bits(h), np.arange(40 - w + 1), w) == want).all()
+    assert (L.fingerprints_at(L.sums_of_bits(h, 4), np.arange(0, 33, 4), 8, 4) == L.fingerprints(h, 8)[::4]).all()
 
 
 def test_weighted_similarity():
