@@ -26,11 +26,12 @@ BITS = 23
 TOP = 12
 DEPTH = 5
 WIDTH = 2048
-BUFFER = 8192
+BUFFER = 1024
 #: Sketches of one key merged by one task.
 FAN_IN = 32
-#: Rows that one task buffers, over all keys, before it hands its parts on.
-HELD = 1 << 21
+#: Numbers that one task holds in lists and sketches of all its keys before it hands them on (64 MB).
+#: That is some 75 keys with sketches: fewer keys stay in place to the end, whatever their rows.
+HELD = 1 << 23
 #: Stated error of a rank, as a share of the group; the sketches above keep well inside it.
 RANK_ERROR = 0.01
 
@@ -136,6 +137,10 @@ class Part:
             self.sketch = self.sketch + _sketch(self.codes, self.weights)
             self.codes, self.weights = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def held(self) -> int:
+        """Numbers in memory."""
+        return (0 if self.sketch is None else _SIZE) + 2 * (len(self.codes) + sum(len(c) for c, _ in self.waiting))
+
     def total(self) -> int:
         return int(self.sketch[: 1 << TOP].sum() if self.sketch is not None else self.weights.sum())
 
@@ -188,7 +193,8 @@ def build(df: DataFrame, keys: list[str], value: str, weight: str | None = None)
 
     Rows with a null value or weight, or a value that is no number of that range, are no
     observations; null keys form a group. `weight` counts a
-    row so many times, -1 deletes it. Nothing is shuffled, and a task holds HELD rows at most.
+    row so many times, -1 deletes it. Nothing is shuffled, and a task holds HELD numbers and the last
+    key's part at most.
     """
     group = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}) if keys else F.lit("{}")
     rows = df.select(group.alias("g"), F.col(value).try_cast("bigint").alias("v"), (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("w")).filter("v is not null and w is not null")
@@ -196,7 +202,7 @@ def build(df: DataFrame, keys: list[str], value: str, weight: str | None = None)
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        node, parts, held = TaskContext.get().partitionId(), {}, 0
+        node, parts = TaskContext.get().partitionId(), {}
 
         def hand_on() -> Iterator[pa.RecordBatch]:
             for name, part in parts.items():
@@ -214,10 +220,8 @@ def build(df: DataFrame, keys: list[str], value: str, weight: str | None = None)
             for first, last in zip(cuts, [*cuts[1:], len(of)]):
                 rows = order[first:last]
                 parts.setdefault(names.dictionary[int(of[rows[0]])].as_py(), Part()).add(codes[rows], weights[rows])
-            held += len(of)
-            if held > HELD:
+            if sum(part.held() for part in parts.values()) > HELD:
                 yield from hand_on()
-                held = 0
         yield from hand_on()
 
     return rows.mapInArrow(leaf, f"g string, {_PART}")
