@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from strandloom.llm.leaks import leaks
 from strandloom.llm.pairs import SIGNIFICANT, together
 from strandloom.llm.quantiles import RANK_ERROR, build, merge, percentiles, ranks, regroup
 from strandloom.llm.spam import stuffed
-from strandloom.llm.tokens import encode
+from strandloom.llm.tokens import PATTERN, encode
 from strandloom.plans.problems import INTERVALS_SQL, intervals
 from strandloom.storage import materialise, maybe_broadcast, spread, table
 
@@ -116,15 +115,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def tokenizer(folder: str = TOKENIZERS) -> tuple[str, str]:
     """Rank file and split pattern of byte_bpe_50k."""
-    spec = find_spec("public_tokenizers")
-    if spec:
-        import public_tokenizers
-
-        return os.path.join(folder, "byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    scope: dict = {}
-    with open(os.path.join(folder, "__init__.py")) as source:
-        exec(source.read(), scope)
-    return os.path.join(folder, "byte_bpe_50k.tiktoken"), scope["PATTERN"]
+    return os.path.join(folder, "byte_bpe_50k.tiktoken"), PATTERN
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -138,6 +129,11 @@ def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", table(spark, d, "eval_items"), "item_id")
 
 
+def p7_parts(spark: SparkSession, d: str) -> DataFrame:
+    """How many parts of twelve words a document and a passage have in common."""
+    return p7_leaks(spark, d).filter("same > 0").select("doc_id", "item_id", "same")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs with twelve consecutive words in common."""
     return p7_leaks(spark, d).filter("same > 0").select("doc_id", "item_id").distinct()
@@ -153,7 +149,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_scores(spark, d).filter("spam").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_top, p4_found, p4_medians, p4_percentiles, p5_found, p5_pairs, p6_ids, p7_found, p7_leaks, p8_found, p8_scores)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_top, p4_found, p4_medians, p4_percentiles, p5_found, p5_pairs, p6_ids, p7_found, p7_parts, p7_leaks, p8_found, p8_scores)}
 
 _P3 = "k as (select 'cell' key_kind, cell key_value from cluster_frags union all select 'complex', complex from cluster_frags), f as (select key_kind, key_value, count(*) n from k where key_value is not null group by all having count(*) * 400 >= (select count(*) from cluster_frags))"
 _P4 = (
@@ -179,11 +175,14 @@ def _words_sql(source: str, key: str) -> str:
     return f"(select {key}, unnest(range(1, len(w) - 10)) i, w from (select {key}, {words} w from {source} where text is not null))"
 
 
+_P7 = "with d as (select doc_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("documents", "doc_id") + "), e as (select item_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("eval_items", "item_id") + ") "
+
 SQL = {
     "p3_found": "with " + _P3 + " select key_kind, key_value from f",
     "p4_found": _P4 + " select lib from m join r using (lib) where abs(reported - median) * 10 > median",
     "p4_medians": _P4 + " select lib, n, median, reported from m join r using (lib) where reported is not null",
     "p5_found": _P5 + " select item_a, item_b from r where n_ab * n >= 3 * n_a * n_b",
     "p5_pairs": _P5 + f", g as (select *, {_LLR} g from r) select item_a, item_b, n_ab, n_a, n_b, n, round(n_ab * n / (n_a * n_b), 6) lift, round(g, 3) llr from g where g >= {SIGNIFICANT}",
-    "p7_found": "with d as (select doc_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("documents", "doc_id") + "), e as (select item_id, array_to_string(w[i:i+11], ' ') s from " + _words_sql("eval_items", "item_id") + ") select distinct doc_id, item_id from d join e using (s)",
+    "p7_found": _P7 + "select distinct doc_id, item_id from d join e using (s)",
+    "p7_parts": _P7 + "select doc_id, item_id, count(*) same from d join e using (s) group by all",
 }

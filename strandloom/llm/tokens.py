@@ -15,6 +15,7 @@ at the same place, both go on alike.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 LEAF = 4096
 #: The longest contraction of the pattern has three characters; one more for the look-ahead.
 LOOK = 4
+# Fixed value: the split pattern of byte_bpe_50k.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @lru_cache(maxsize=4)
@@ -112,15 +115,21 @@ def encode(df: DataFrame, key: str, text: str, path: str, pattern: str, leaf: in
     """`key` and `ids` (array<int>): the ids of `text`, without special tokens, one row per row.
 
     Null and empty texts have no ids. Strings that look like special tokens are ordinary text. Keys
-    may be null or repeated. Other columns are not read. `path`: a rank file, which every executor
-    must be able to read; `pattern`: the pattern that splits text into words.
+    may be null or repeated. Other columns are not read. `path`: a rank file, which is sent to the
+    executors; `pattern`: the pattern that splits text into words.
+
+    The pieces of one text are joined in one task, as its ids are one row in the end.
     """
+    from pyspark import SparkFiles
+
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     out = f"key {kind}, ids array<int>"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, _ = _encoder(path, pattern)
+        encoding, _ = _encoder(SparkFiles.get(name), pattern)
         for batch in batches:
             ids = [encoding.encode_ordinary(t) if t else [] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(ids)], ["key", "ids"])
@@ -137,13 +146,13 @@ def encode(df: DataFrame, key: str, text: str, path: str, pattern: str, leaf: in
                     )
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, words = _encoder(path, pattern)
+        encoding, words = _encoder(SparkFiles.get(name), pattern)
         for batch in batches:
             done = [piece(t, encoding, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "key", "part", "text")), _lists([p.ids for p in done]), _lists([p.starts for p in done])], ["row", "key", "part", "text", "ids", "starts"])
 
     def joined(table: pa.Table) -> pa.Table:
-        encoding, words = _encoder(path, pattern)
+        encoding, words = _encoder(SparkFiles.get(name), pattern)
         table = table.sort_by("part")
         pieces = [Piece(t, np.array(i, np.int32), np.array(s, np.int64)) for t, i, s in zip(*(table[c].to_pylist() for c in ("text", "ids", "starts")))]
         return pa.table({"key": table["key"].slice(0, 1).combine_chunks(), "ids": _lists([join_all(pieces, encoding, words).ids])})
