@@ -67,7 +67,7 @@ def correct_sparse(reads: DataFrame, whitelist: DataFrame, seq: str, mismatches:
 
     N never matches. The expanded table is broadcast if small, else joined by shuffle.
     """
-    table = expand(whitelist, mismatches).select(F.col("variant").alias(seq), "ord", "dist")
+    table = materialise(expand(whitelist, mismatches).select(F.col("variant").alias(seq), "ord", "dist"), "variants")
     return reads.join(maybe_broadcast(table), seq, "left")
 
 

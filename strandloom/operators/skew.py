@@ -8,32 +8,44 @@ keys the sketch names changes the speed only, never the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.storage import BROADCAST_ROWS
+from strandloom.storage import maybe_broadcast
 
-#: A key with at least this share of the rows is heavy, so at most 1 / SUPPORT keys are.
-SUPPORT = 1e-3
+#: Bounds of the share of rows from which a key is heavy; the sketch has 1 / share counters.
+LEAST, MOST = 1e-4, 1e-2
 
 
-def heavy_values(df: DataFrame, column: str, support: float = SUPPORT) -> list:
+def heavy_share(spark: SparkSession) -> float:
+    """A quarter of the rows that a task has on average after a shuffle, within LEAST and MOST.
+
+    So a light key adds less than a quarter to the rows of its task, up to 2,500 partitions; beyond
+    that it adds less than LEAST of all rows.
+    """
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return min(MOST, max(LEAST, 1 / (4 * parts)))
+
+
+def heavy_values(df: DataFrame, column: str, support: float | None = None) -> list:
     """Every non-null value of `column` in at least `support` of the rows, and perhaps lighter ones.
 
-    At most 1 / support values, so that the list may go to the driver. Empty for an empty table.
+    At most 1 / support values (heavy_share by default), so that the list may go to the driver. Empty
+    for an empty table.
     """
+    support = support or heavy_share(df.sparkSession)
     row = df.select(column).filter(F.col(column).isNotNull()).freqItems([column], support).first()
     return sorted(v for v in (row[0] if row and row[0] else []) if v is not None)
 
 
-def split_heavy(df: DataFrame, key: str, support: float = SUPPORT, values: list | None = None) -> tuple[DataFrame, DataFrame]:
+def split_heavy(df: DataFrame, key: str, support: float | None = None, values: list | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of heavy keys, other rows), by broadcast semi and anti joins. Null keys are light."""
     values = heavy_values(df, key, support) if values is None else values
     heavy = df.sparkSession.createDataFrame([(v,) for v in values], f"`{key}` {df.schema[key].dataType.simpleString()}")
     return df.join(F.broadcast(heavy), key, "left_semi"), df.join(F.broadcast(heavy), key, "left_anti")
 
 
-def distinct_counts(df: DataFrame, key: str, item: str, support: float = SUPPORT, name: str = "n") -> DataFrame:
+def distinct_counts(df: DataFrame, key: str, item: str, support: float | None = None, name: str = "n") -> DataFrame:
     """Number of distinct `item` of each `key`: columns `key`, `name` (bigint).
 
     Null keys give no row; null items don't count, and a key with null items only gives no row.
@@ -50,11 +62,13 @@ def distinct_counts(df: DataFrame, key: str, item: str, support: float = SUPPORT
     return spread.groupBy(key).agg(count).unionByName(gathered.groupBy(key).agg(count))
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", support: float = SUPPORT, max_rows: int = BROADCAST_ROWS, salts: int = 64) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", support: float | None = None, max_rows: int | None = None, salts: int = 64) -> DataFrame:
     """`left` joined to `right` on `key`, where a few keys may hold most rows of `left`.
 
-    how: inner or left. The rows of `right` with heavy keys are broadcast if they are at most
-    `max_rows`; beyond that they are repeated once per salt and joined by shuffle on (key, salt).
+    how: inner or left. The rows of `right` with heavy keys are broadcast if they are small enough
+    for that (or at most `max_rows`); beyond that they are repeated once per salt and joined by
+    shuffle on (key, salt). A row's salt is a hash of its columns, so that a task that runs again
+    gives it the same one; equal rows share theirs.
     Null keys match nothing. Other columns of `right` that `left` has too get `_right` appended.
     Repeated rows are joined each. An empty side gives what the join of that kind gives.
     """
@@ -70,10 +84,11 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", s
     values = heavy_values(left, key, support)
     heavy, light = split_heavy(left, key, values=values)
     few, rest = split_heavy(right, key, values=values)
-    if few.limit(max_rows + 1).count() <= max_rows:
-        hot = heavy.join(F.broadcast(few), key, how)
+    sized = maybe_broadcast(few) if max_rows is None else maybe_broadcast(few, max_rows)
+    if sized is not few:
+        hot = heavy.join(sized, key, how)
     else:
         many = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = heavy.withColumn("_salt", (F.rand(7) * salts).cast("int"))
+        salted = heavy.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int"))
         hot = salted.join(many, [key, "_salt"], how).drop("_salt")
     return hot.unionByName(light.join(rest, key, how))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators.skew import SUPPORT, heavy_values, split_heavy
+from strandloom.operators.skew import heavy_values, split_heavy
 
 #: Positions in a block of a heavy group; at most twice as many events, once they are summed by position.
 BLOCK = 1 << 20
@@ -72,7 +72,7 @@ def _heavy(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
     )
 
 
-def sweep(df: DataFrame, keys: list[str], start: str, end: str, support: float = SUPPORT, block: int = BLOCK) -> DataFrame:
+def sweep(df: DataFrame, keys: list[str], start: str, end: str, support: float | None = None, block: int = BLOCK) -> DataFrame:
     """Periods and gaps of each group: columns keys, `kind` ('period' or 'gap'), `start_pos`, `end_pos` (bigint).
 
     An interval runs from the smaller to the larger of the two positions, half-open. Intervals with

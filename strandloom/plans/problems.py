@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom.functions.ids import group_number, with_chromosome
 from strandloom.operators.skew import distinct_counts, skew_join
 from strandloom.operators.sweep import sweep
-from strandloom.storage import spread, table
+from strandloom.storage import materialise, spread, table
 
 KINDS = {"cell": "CELL", "complex": "COMPLEX"}
 
@@ -47,9 +47,8 @@ def p1_barcodes(spark: SparkSession, d: str) -> DataFrame:
     """Distinct fragments and reported reads of each cell with its barcode; cells without a row keep null."""
     frags = spread(table(spark, d, "cluster_frags").select("cell", "frag_id")).select(group_number(F.col("cell"), "CELL").alias("id"), "frag_id").filter("id is not null")
     idb = table(spark, d, "cell_idb").select("id", F.col("n").alias("reads"), F.substring_index("names", ":", -1).alias("barcode"))
-    joined = skew_join(frags, idb, "id", how="left")
-    label = joined.select("frag_id", F.struct("id", "barcode", "reads").alias("key"))
-    keyed = label.select("frag_id", F.to_json("key", {"ignoreNullFields": "false"}).alias("key"))
+    label = skew_join(frags, idb, "id", how="left").select("frag_id", F.struct("id", "barcode", "reads").alias("key"))
+    keyed = materialise(label.select("frag_id", F.to_json("key", {"ignoreNullFields": "false"}).alias("key")), "labelled")
     counts = distinct_counts(keyed, "key", "frag_id", name="fragments")
     parsed = F.from_json("key", "id bigint, barcode string, reads bigint")
     return counts.select(parsed.alias("k"), "fragments").select("k.id", "k.barcode", "k.reads", "fragments")

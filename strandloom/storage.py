@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast after it was counted.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which a side may be broadcast after it was measured.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,10 +29,16 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session. Where it is unset (tests), a folder of our own is set."""
+    """spark.checkpoint.dir of the session.
+
+    Where it is unset, a local session (as in tests) gets a folder of its own; on a cluster that is
+    an error, as every executor would write to its own disk.
+    """
     conf = spark.sparkContext.getConf()
     folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.strandloom.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="strandloom-")
         spark.conf.set("spark.strandloom.checkpoint.dir", folder)
     return folder
@@ -49,11 +56,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `max_rows` rows, else `df` itself.
+def _bytes_of(df: DataFrame) -> Column:
+    """Bytes of a row in memory, roughly; of nested columns their text."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{c}`") if t in ("string", "binary") else F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary") or "<" in t]
+    return sum(text, F.lit(16 * len(df.columns)).cast("bigint"))
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `max_rows` rows and `max_bytes` bytes, else `df` itself.
 
-    Counting stops at max_rows + 1. Beyond the bound Spark joins by shuffle, and AQE splits skewed
-    partitions. Give it only cheap or materialised frames: they are evaluated once for the count.
+    Measuring stops at max_rows + 1. Beyond the bounds Spark joins by shuffle, and AQE splits skewed
+    partitions. Give it only cheap frames (scans, small aggregates) or materialised ones: they are
+    evaluated once more to be measured.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_bytes_of(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
