@@ -24,8 +24,8 @@ def usable(df: DataFrame, min_mapq: int = 30, unique: int | None = None) -> Data
 
 
 def one_mate(df: DataFrame, which: int) -> DataFrame:
-    """Alignments of mate 1 or mate 2 alone."""
-    return df.filter(F.col("flag").bitwiseAND(FIRST if which == 1 else LAST) != 0)
+    """Alignments of mate 1 or mate 2 alone; those of unpaired reads stay."""
+    return df.filter((F.col("flag").bitwiseAND(PAIRED) == 0) | (F.col("flag").bitwiseAND(FIRST if which == 1 else LAST) != 0))
 
 
 def mates(df: DataFrame, strict: bool = False) -> DataFrame:

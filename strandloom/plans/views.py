@@ -96,11 +96,11 @@ ALIGNMENTS = (
 
 
 def blacklist(spark: SparkSession, d: str) -> DataFrame:
-    """chr, start_pos, end_pos: regions made of a twentieth of the orders."""
-    return table(spark, d, "orders").filter("o_orderkey % 20 = 0").selectExpr("concat('chr', cast(1 + o_custkey % 17 as string)) as chr", "(o_orderkey * 7919) % 150000000 as start_pos", "(o_orderkey * 7919) % 150000000 + 400000 as end_pos")
+    """chr, start_pos, end_pos: a region for each order."""
+    return table(spark, d, "orders").selectExpr("concat('chr', cast(1 + o_custkey % 17 as string)) as chr", "(o_orderkey * 7919) % 150000000 as start_pos", "(o_orderkey * 7919) % 150000000 + 20000 as end_pos")
 
 
-BLACKLIST = "blacklist as (select 'chr' || (1 + o_custkey % 17) chr, (o_orderkey * 7919) % 150000000 start_pos, (o_orderkey * 7919) % 150000000 + 400000 end_pos from orders where o_orderkey % 20 = 0)"
+BLACKLIST = "blacklist as (select 'chr' || (1 + o_custkey % 17) chr, (o_orderkey * 7919) % 150000000 start_pos, (o_orderkey * 7919) % 150000000 + 20000 end_pos from orders)"
 
 
 def with_views(*parts: str, recursive: bool = False) -> str:
