@@ -53,13 +53,14 @@ def similarity(df: DataFrame) -> DataFrame:
     """Pairs of cells (a, b) and how many distinct starts of a are ends of b plus the reverse.
 
     An equi-join of distinct starts with distinct ends on (chr, position); only pairs that meet
-    appear. A cell with itself counts each meeting twice.
+    appear. A cell with itself counts each meeting twice. Where many cells start and end at one
+    position, all their pairs are part of the result; AQE splits such a position over tasks.
     """
     starts = df.select("cell", "chr", F.col("start_pos").alias("p")).distinct()
     ends = df.select(F.col("cell").alias("other"), "chr", F.col("end_pos").alias("p")).distinct()
     met = starts.join(ends, ["chr", "p"]).groupBy("cell", "other").agg(F.count(F.lit(1)).alias("n"))
-    both = met.select(F.col("cell").alias("a"), F.col("other").alias("b"), "n").unionByName(met.select(F.col("other").alias("a"), F.col("cell").alias("b"), "n"))
-    return both.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    ways = F.array(F.struct(F.col("cell").alias("a"), F.col("other").alias("b")), F.struct(F.col("other").alias("a"), F.col("cell").alias("b")))
+    return met.select(F.explode(ways).alias("w"), "n").groupBy("w.a", "w.b").agg(F.sum("n").alias("n"))
 
 
 def keep_singlets(df: DataFrame) -> DataFrame:

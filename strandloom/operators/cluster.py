@@ -12,23 +12,34 @@ from pyspark.sql import functions as F
 
 from strandloom.operators.ranks import following, numbered
 from strandloom.operators.sweep import sweep
+from strandloom.storage import materialise
 
 FRAGMENT = ["chr", "start_pos", "end_pos"]
+#: Fragments of one line of text.
+PER_LINE = 1_000_000
+#: Positions of a bin in which fragments look for the interval they were merged into.
+BIN = 1 << 20
 
 
 def group(df: DataFrame, keys: list[str], order: str = "idx") -> DataFrame:
     """One row per group with its fragments in order: keys, `n`, `frags` (array of chr, start, end).
 
-    The nested form is for output only: a group's fragments must fit into one row.
+    A group's fragments must fit into one row; inline_text and to_bed take the long form and have no such bound.
     """
     fragment = F.struct(F.col(order).alias("idx"), *FRAGMENT)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.transform(F.array_sort(F.collect_list(fragment)), lambda x: F.struct(x["chr"].alias("chr"), x["start_pos"].alias("start_pos"), x["end_pos"].alias("end_pos"))).alias("frags"))
 
 
-def inline_text(grouped: DataFrame, keys: list[str]) -> DataFrame:
-    """The flat text line of each group: keys, count, then chr, start, end of each fragment."""
-    flat = F.flatten(F.transform("frags", lambda x: F.array(x["chr"], x["start_pos"].cast("string"), x["end_pos"].cast("string"))))
-    return grouped.select(*keys, F.concat_ws("\t", *[F.col(k).cast("string") for k in keys], F.col("n").cast("string"), F.concat_ws("\t", flat)).alias("line"))
+def inline_text(df: DataFrame, keys: list[str], order: str = "idx", per_line: int = PER_LINE) -> DataFrame:
+    """The flat text line of each group: keys, `part`, `line` with keys, count, then chr, start, end of each fragment.
+
+    Groups of more than `per_line` fragments make several lines, numbered by `part` from 0, each with
+    the keys and its own count, so that no line holds more than that.
+    """
+    rows = numbered(df.select(*keys, *FRAGMENT, order), keys, order).withColumn("part", F.expr(f"i div {per_line}L"))
+    text = F.concat_ws("\t", "chr", F.col("start_pos").cast("string"), F.col("end_pos").cast("string"))
+    lines = rows.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(F.struct("i", text.alias("t")))).alias("_f"))
+    return lines.select(*keys, "part", F.concat_ws("\t", *[F.col(k).cast("string") for k in keys], F.col("_n").cast("string"), F.concat_ws("\t", F.col("_f")["t"])).alias("line"))
 
 
 def hierarchy(df: DataFrame, parent: str, child: str, order: str = "idx") -> DataFrame:
@@ -54,7 +65,7 @@ def duplicate_stats(deduped: DataFrame) -> DataFrame:
 
 
 def split_by_chromosome(df: DataFrame, key: str, order: str = "idx") -> DataFrame:
-    """`df` with `sub_id` = key-k, k counting the chromosomes of a group by first appearance from 0.
+    """`df` with `sub_id` = key-k, k counting the chromosomes of a group from 0, by first appearance in `order`.
 
     The window is over one row per group and chromosome, never over the fragments.
     """
@@ -81,25 +92,24 @@ def merge(df: DataFrame, keys: list[str], distance: int = 0, extend: int = 0, mi
 def merge_with(df: DataFrame, keys: list[str], extra: str, distance: int = 0, extend: int = 0, min_length: int = 0, delimiter: str = ";") -> DataFrame:
     """As merge, with the values of `extra` in order of start, joined by `delimiter`.
 
-    The values of one merged interval must fit into one row.
+    Fragments are joined to the interval that their start lies in, by an equi-join on bins of
+    positions, so a large group is spread over its bins. The values of one merged interval must fit
+    into one row. Null keys and positions are left out, as in merge.
     """
-    rows = df.filter(F.col("end_pos") - F.col("start_pos") >= min_length).withColumn("end_pos", F.col("end_pos") + extend)
-    w = Window.partitionBy(*keys, "chr").orderBy("start_pos", "end_pos", extra)
-    before = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(before + distance >= F.col("start_pos"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    value = F.struct("start_pos", "end_pos", F.col(extra).alias("x"))
-    return (
-        rows.withColumn("_island", island)
-        .groupBy(*keys, "chr", "_island")
-        .agg(F.min("start_pos").alias("start"), F.max("end_pos").alias("end"), F.array_join(F.array_sort(F.collect_list(value))["x"].cast("array<string>"), delimiter).alias(extra))
-        .select(*keys, "chr", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), extra)
-    )
-
-
-def to_bed(grouped: DataFrame, keys: list[str]) -> DataFrame:
-    """A row per fragment of the nested form: chr, start_pos, end_pos, `name` (keys joined by |), `i`."""
+    own = [*keys, "chr"]
+    written = materialise(df.select(*own, "start_pos", "end_pos", F.col(extra).alias("_x")), "fragments")
+    merged = merge(written, keys, distance, extend, min_length).select(*own, F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"))
+    merged = merged.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_s") / BIN), F.floor(F.col("_e") / BIN))))
+    rows = written.filter(F.col("end_pos") - F.col("start_pos") >= min_length).withColumn("_bin", F.floor(F.col("start_pos") / BIN))
+    inside = rows.join(merged, [*own, "_bin"]).filter("start_pos between _s and _e")
+    value = F.struct("start_pos", "end_pos", "_x")
+    return inside.groupBy(*own, "_s").agg(F.max("_e").alias("_e"), F.array_join(F.array_sort(F.collect_list(value))["_x"].cast("array<string>"), delimiter).alias(extra)).select(*own, F.col("_s").alias("start_pos"), F.col("_e").alias("end_pos"), extra)
+
+
+def to_bed(df: DataFrame, keys: list[str], order: str = "idx") -> DataFrame:
+    """A row per fragment: chr, start_pos, end_pos, `name` (keys joined by |), `i` (its place in the group)."""
     name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return grouped.select(name.alias("name"), F.posexplode("frags").alias("i", "f")).select("f.*", "name", F.col("i").cast("bigint").alias("i"))
+    return numbered(df.select(*keys, *FRAGMENT, order), keys, order).select(*FRAGMENT, name.alias("name"), "i")
 
 
 def lengths(df: DataFrame, key: str, order: str = "idx") -> DataFrame:

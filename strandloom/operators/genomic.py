@@ -36,18 +36,27 @@ def coverage(df: DataFrame, keys: list[str] | None = None, block: int = BLOCK) -
     return runs.select(*keys, F.col("p").alias("start_pos"), F.coalesce("_next", "_after").alias("end_pos"), depth.alias("depth")).filter("depth > 0")
 
 
-def peaks(runs: DataFrame, keys: list[str] | None = None, cutoff: int = 5, min_length: int = 200, max_gap: int = 30) -> DataFrame:
+def peaks(runs: DataFrame, keys: list[str] | None = None, cutoff: int = 5, min_length: int = 200, max_gap: int = 30, block: int = BLOCK) -> DataFrame:
     """Stretches of depth >= cutoff, joined over gaps of up to max_gap, at least min_length long.
 
-    Columns: keys, chr, start_pos, end_pos, summit (largest depth).
+    Columns: keys, chr, start_pos, end_pos, summit (largest depth). Runs are joined inside blocks of
+    positions; from the blocks before, a block takes where the last run ends and where the last
+    stretch begins, so that a chromosome is worked on by many tasks.
     """
+    from strandloom.storage import materialise
+
     keys = [*(keys or []), "chr"]
-    high = runs.filter(F.col("depth") >= cutoff)
-    w = Window.partitionBy(*keys).orderBy("start_pos")
-    starts = F.when(F.col("start_pos") - F.lag("end_pos").over(w) <= max_gap, 0).otherwise(1)
-    island = high.withColumn("_new", starts).withColumn("_island", F.sum("_new").over(w))
-    found = island.groupBy(*keys, "_island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.max("depth").alias("summit"))
-    return found.filter(F.col("end_pos") - F.col("start_pos") >= min_length).drop("_island")
+    high = runs.filter(F.col("depth") >= cutoff).select(*keys, "start_pos", "end_pos", "depth", F.expr(f"(start_pos - pmod(start_pos, {block}L)) div {block}L").alias("_block"))
+    high = materialise(high, "runs")
+    along = Window.partitionBy(*keys).orderBy("_block")
+    inside = Window.partitionBy(*keys, "_block").orderBy("start_pos")
+    ends = high.groupBy(*keys, "_block").agg(F.max("end_pos").alias("_last")).withColumn("_before", F.lag("_last").over(along)).drop("_last")
+    gap = F.col("start_pos") - F.coalesce(F.lag("end_pos").over(inside), F.col("_before"))
+    begun = high.join(ends, [*keys, "_block"]).withColumn("_begin", F.when(gap <= max_gap, F.lit(None)).otherwise(F.col("start_pos")))
+    carried = begun.groupBy(*keys, "_block").agg(F.max("_begin").alias("_m")).withColumn("_carry", F.max("_m").over(along.rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
+    placed = begun.withColumn("_at", F.max("_begin").over(inside)).join(carried, [*keys, "_block"]).withColumn("_at", F.coalesce("_at", "_carry"))
+    found = placed.groupBy(*keys, "_at").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.max("depth").alias("summit"))
+    return found.filter(F.col("end_pos") - F.col("start_pos") >= min_length).drop("_at")
 
 
 def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:

@@ -22,7 +22,7 @@ def cluster_group_count(s, d):
 
 
 def cluster_inline_bed(s, d):
-    return C.inline_text(C.group(frags(s, d), GROUP), GROUP)
+    return C.inline_text(frags(s, d), GROUP)
 
 
 def cluster_hierarchy(s, d):
@@ -63,7 +63,7 @@ def cluster_merge_extra(s, d):
 
 
 def cluster_explode_bed(s, d):
-    return C.to_bed(C.group(frags(s, d), GROUP), GROUP)
+    return C.to_bed(frags(s, d), GROUP)
 
 
 def frag_length(s, d):
@@ -161,7 +161,7 @@ _OVER = " join blacklist b on b.chr = f.chr and f.start_pos < b.end_pos and b.st
 
 SQL = {
     "cluster_group_count": _F + "select gid, count(*) n from frags group by gid",
-    "cluster_inline_bed": _F + "select gid, gid || chr(9) || count(*) || chr(9) || string_agg(f.chr || chr(9) || start_pos || chr(9) || end_pos, chr(9) order by idx, f.chr, start_pos, end_pos) line from frags f group by gid",
+    "cluster_inline_bed": with_views(FRAGS, "nu as (select *, (row_number() over (partition by gid order by idx, frags.chr, start_pos, end_pos) - 1) // 1000000 part from frags)") + "select gid, part, gid || chr(9) || count(*) || chr(9) || string_agg(f.chr || chr(9) || start_pos || chr(9) || end_pos, chr(9) order by idx, f.chr, start_pos, end_pos) line from nu f group by gid, part",
     "cluster_hierarchy": _F + "select gid, arg_min(cell, idx) cell, count(*) n from frags group by gid",
     "cluster_dedup_start": _F + "select gid, chr, start_pos, min(idx) idx, arg_min(end_pos, idx) end_pos, count(*) dup from frags group by all",
     "cluster_dedup_start_end": _F + "select gid, chr, start_pos, end_pos, min(idx) idx, count(*) dup from frags group by all",

@@ -30,11 +30,11 @@ def cluster_header(spark: SparkSession, path: str) -> list[str] | None:
     return found[0][0].split("\t")[1:] if found else None
 
 
-def sink_clusters(grouped: DataFrame, keys: list[str], path: str) -> None:
-    """Write the nested form (keys, n, frags) as cluster lines, in as many files as partitions."""
+def sink_clusters(df: DataFrame, keys: list[str], path: str, order: str = "idx") -> None:
+    """Write fragments as cluster lines, in as many files as partitions; very large groups take several lines."""
     from strandloom.operators.cluster import inline_text
 
-    inline_text(grouped, keys).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+    inline_text(df, keys, order).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
 
 
 def scan_idb(spark: SparkSession, path: str) -> DataFrame:

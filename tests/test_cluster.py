@@ -44,10 +44,12 @@ def test_split_by_first_appearance(df):
 
 
 def test_inline_and_back(df):
-    grouped = C.group(df, ["gid"])
-    lines = {r.gid: r.line for r in C.inline_text(grouped, ["gid"]).collect()}
+    assert {r.gid: r.n for r in C.group(df, ["gid"]).collect()} == {"a": 5, "b": 1}
+    lines = {r.gid: r.line for r in C.inline_text(df, ["gid"]).collect()}
     assert lines["b"] == "b\t1\tchr3\t7\t9" and lines["a"].startswith("a\t5\tchr1\t10\t20\tchr2\t10\t20\tchr1\t10\t25")
-    bed = C.to_bed(grouped, ["gid"]).collect()
+    parts = {(r.gid, r.part): r.line for r in C.inline_text(df, ["gid"], per_line=2).collect()}
+    assert sorted(parts) == [("a", 0), ("a", 1), ("a", 2), ("b", 0)] and parts["a", 0] == "a\t2\tchr1\t10\t20\tchr2\t10\t20" and parts["a", 2].startswith("a\t1\t")
+    bed = C.to_bed(df, ["gid"]).collect()
     assert len(bed) == 6 and {(r.name, r.i) for r in bed} == {("a", i) for i in range(5)} | {("b", 0)}
 
 

@@ -85,7 +85,7 @@ def test_mate_cases(spark):
 
 def test_clusters_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("c1", 1, "chr1", 1, 5), ("c1", 2, "chr2", 3, 4), ("c2", 3, "chr1", 7, 9)], "gid string, idx bigint, chr string, start_pos bigint, end_pos bigint")
-    tables.sink_clusters(C.group(df, ["gid"]), ["gid"], str(tmp_path / "c"))
+    tables.sink_clusters(df, ["gid"], str(tmp_path / "c"))
     back = tables.scan_clusters(spark, str(tmp_path / "c"), ["gid"])
     assert sorted((r.gid, r.i, r.chr, r.start_pos, r.end_pos) for r in back.collect()) == [("c1", 0, "chr1", 1, 5), ("c1", 1, "chr2", 3, 4), ("c2", 0, "chr1", 7, 9)]
     (tmp_path / "x.cluster").write_text("@CN\tCELL\tCOMPLEX\tCount\n#note\nk1\tx1\t2\tchr1\t1\t2\tchr3\t5\t6\tu\tv\n\nk2\tx2\t0\n")
@@ -160,4 +160,18 @@ def test_pipeline_of_hand_made_reads(spark):
     rows = [(f"q{i}|||BC:A|||COMPLEX_{1 + i // 4}", 0, "chr1", 1000 * i, 60, "50M") for i in range(8)] + [("bad|||BC:A|||COMPLEX_1", 0, "chr1", 5, 3, "50M"), ("no id", 0, "chr1", 5, 60, "50M"), ("m|||BC:A|||COMPLEX_1", 0, "chrM", 5, 60, "50M")]
     out = pipelines.refine(spark.createDataFrame(rows, "qname string, flag int, rname string, pos bigint, mapq int, cigar string"), "chiadrop")
     assert sorted((r.gid, r.chr, r.start_pos, r.end_pos) for r in out["regions"].collect()) == [("1", "chr1", 0, 3150), ("2", "chr1", 4000, 7150)]
-    assert out["pairs"].count() == 0 and {r["class"]: r.groups for r in out["histogram"].collect()}["F = 1"] == 2
+    assert out["contacts"].count() == 0 and {r["class"]: r.groups for r in out["histogram"].collect()}["F = 1"] == 2
+
+
+def test_pipelines_take_their_alignments(spark):
+    """Unique reads of scsprite, the mask of sprite, both kinds of rdsprite."""
+    schema = "qname string, flag int, rname string, pos bigint, mapq int, cigar string"
+    name = lambda i: f"q{i}|||BC:A|||CELL_{i % 2}|COMPLEX_{i // 3}"
+    star = spark.createDataFrame([(name(i), 2304 if i == 5 else 0, "chr1" if i % 2 else "chrUn_1", 100 * (i // 2), 3 if i == 0 else 255, "50M") for i in range(6)], schema)
+    single = pipelines.refine(star, "scsprite")
+    assert sorted((r.parent, r.gid, r.sub_id, r.chr, r.start_pos, r.dup) for r in single["regions"].collect()) == [("0", "0", "0-1", "chrUn_1", 100, 1), ("0", "1", "1-1", "chrUn_1", 200, 1), ("1", "0", "0-0", "chr1", 0, 1), ("1", "1", "1-0", "chr1", 100, 1), ("1", "1", "1-0", "chr1", 200, 1)]
+    dna = spark.createDataFrame([(name(i), 0, "chr1", 100 * i, 60, "50M") for i in range(3)] + [(name(0), 256, "chr1", 7, 60, "50M"), (name(1), 0, "chr1", 9, 10, "50M")], schema)
+    hidden = spark.createDataFrame([("chr1", 149, 160)], "chr string, start_pos bigint, end_pos bigint")
+    assert sorted(r.start_pos for r in pipelines.refine(dna, "sprite", hidden)["dedup"].collect()) == [0, 200]
+    mixed = pipelines.refine(dna, "rdsprite", rna=star)["mixed"].collect()
+    assert {(r.type, r.name, r.len) for r in mixed} == {("DNA", f"0-3-{i}", 50) for i in range(3)} | {("RNA", f"0-2-{i}", 50) for i in range(2)} | {("RNA", f"1-3-{i}", 50) for i in range(3)}

@@ -93,6 +93,26 @@ def test_peaks_gap_and_length(spark):
     assert peaks(runs, cutoff=5, min_length=60, max_gap=29).collect() == []
 
 
+def test_peaks_over_blocks(spark):
+    rnd, rows, at = random.Random(6), [], {"c1": 0, "c2": 0}
+    for _ in range(300):
+        c = rnd.choice(["c1", "c2"])
+        start = at[c] + rnd.randint(0, 12)
+        at[c] = start + rnd.randint(1, 9)
+        rows.append((c, start, at[c], rnd.randint(1, 9)))
+    want = []
+    for c, a, b, d in sorted(rows):
+        if d >= 4:
+            if want and want[-1][0] == c and a - want[-1][2] <= 10:
+                want[-1][2:] = [b, max(d, want[-1][3])]
+            else:
+                want.append([c, a, b, d])
+    want = {tuple(w) for w in want if w[2] - w[1] >= 15}
+    runs = spark.createDataFrame(rows, "chr string, start_pos bigint, end_pos bigint, depth bigint").repartition(3)
+    for block in (8, 64, 1 << 20):
+        assert {tuple(r) for r in peaks(runs, cutoff=4, min_length=15, max_gap=10, block=block).collect()} == want
+
+
 def test_overlaps_once_per_pair(spark):
     rnd = random.Random(5)
     make = lambda n: [(i, "c%d" % rnd.randint(1, 2), s, s + rnd.randint(0, 40)) for i, s in enumerate(rnd.randint(0, 200) for _ in range(n))]
