@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.skew import heavy_values, split_heavy
+from strandloom.storage import materialise
 
 #: Positions in a block of a heavy group; at most twice as many events, once they are summed by position.
 BLOCK = 1 << 20
@@ -78,6 +79,8 @@ def sweep(df: DataFrame, keys: list[str], start: str, end: str, support: float |
     An interval runs from the smaller to the larger of the two positions, half-open. Intervals with
     a null position, of length 0, or with a null key are left out. Touching intervals make one
     period. Repeated rows and other columns make no difference; an empty table gives no rows.
+
+    The intervals are written once, for the sketch and the two kinds of groups that read them.
     """
     lo, hi = F.least(start, end), F.greatest(start, end)
     rows = (
@@ -86,9 +89,9 @@ def sweep(df: DataFrame, keys: list[str], start: str, end: str, support: float |
         .filter("_lo < _hi")
         .dropna(subset=keys)
     )
-    hashed = rows.withColumn("_group", F.xxhash64(*keys))
+    hashed = materialise(rows.withColumn("_group", F.xxhash64(*keys)), "intervals")
     values = heavy_values(hashed, "_group", support)
-    out = _light(rows, keys)
+    out = _light(hashed.drop("_group"), keys)
     if values:
         hot, cold = split_heavy(hashed, "_group", values=values)
         out = _light(cold.drop("_group"), keys).unionByName(_heavy(hot.drop("_group"), keys, block))
