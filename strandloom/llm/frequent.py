@@ -17,8 +17,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.storage import maybe_broadcast
-
 _SCHEMA = "kind string, node bigint, value string, low bigint, deducted bigint"
 _ARROW = pa.schema([("kind", pa.string()), ("node", pa.int64()), ("value", pa.string()), ("low", pa.int64()), ("deducted", pa.int64())])
 
@@ -112,17 +110,15 @@ def frequent(df: DataFrame, columns: dict[str, str], one_in: int, counters: int
     with `counters` >= one_in (10 * one_in by default) an absent value is too rare.
 
     The candidates whose upper bound reaches the share (at most `counters` per kind) are counted
-    exactly by a broadcast join, whose groups are summed map-side before the shuffle.
+    exactly in one more scan, by a broadcast join whose groups are summed map-side before the shuffle.
     """
     counters = counters or 10 * one_in
     if counters < one_in:
         raise ValueError("fewer counters than one_in can miss a frequent value")
     total = df.count()
     first = summary(df, columns, counters).filter(F.col("high") * one_in >= total)
+    # at most `counters` rows per kind, so the list has a bound of its own
     found = df.sparkSession.createDataFrame(first.collect(), "kind string, value string, low bigint, high bigint")
-    counted = None
-    for kind, column in columns.items():
-        own = found.filter(F.col("kind") == kind)
-        exact = df.select(F.col(column).cast("string").alias("value")).join(maybe_broadcast(own, counters), "value").groupBy("kind", "value", "low", "high").agg(F.count(F.lit(1)).alias("n"))
-        counted = exact if counted is None else counted.unionByName(exact)
+    values = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in columns.items()])).alias("v")
+    counted = df.select(values).select("v.*").join(F.broadcast(found), ["kind", "value"]).groupBy("kind", "value", "low", "high").agg(F.count(F.lit(1)).alias("n"))
     return counted.filter(F.col("n") * one_in >= total).select("kind", "value", "n", "low", "high")
