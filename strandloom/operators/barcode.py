@@ -127,17 +127,22 @@ def correct(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: st
     """
     out = reads.join(maybe_broadcast(whitelist.select(F.col("seq").alias(seq), "ord")), seq).select(key, "ord", F.lit(0).alias("round"))
     priors = exact_counts(reads, whitelist, seq) if mode in ("default", "atact") else None
-    found = None
+    return out.unionByName(resolve(reads, whitelist, key, seq, qual, mode, priors, mismatches).select(key, "ord", F.lit(1).alias("round")))
+
+
+def resolve(reads: DataFrame, whitelist: DataFrame, key: str, seq: str, qual: str, mode: str, priors: DataFrame | None, mismatches: int = 1) -> DataFrame:
+    """key, ord of the reads without an exact hit that `mode` decides, going through the distances 1 to `mismatches`."""
+    out = found = None
     for distance in range(1, mismatches + 1):
         level = candidates(reads, whitelist, key, seq, qual, distance)
         found = level if found is None else found.unionByName(level)
         last = distance == mismatches
         found = found if last else materialise(found, "candidates")
-        later = decide(found, key, mode, priors).select(key, "ord", F.lit(1).alias("round"))
+        later = decide(found, key, mode, priors).select(key, "ord")
         if not last:
             later = materialise(later, "decided")
             reads, found = (x.join(later.select(key), key, "left_anti") for x in (reads, found))
-        out = out.unionByName(later)
+        out = later if out is None else out.unionByName(later)
     return out
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from strandloom.operators import barcode as B
+from strandloom.operators.identify import identify
 from strandloom.plans.views import READS, WHITELIST, reads, whitelist, with_views
+from strandloom.sources import config
+from strandloom.storage import materialise
 
 #: Letters of the simulated linker that stands before the barcode in the scanned reads.
 LINKER = "AC"
@@ -112,11 +117,54 @@ def identifier_seeded(s, d):
     return B.assign_ids(r, "key", known)
 
 
+#: A barcode with one error, a UMI and a tag that tells DNA from RNA; then the payload. Mate 2 gives ten bases.
+CONFIG = config.parse(
+    json.dumps(
+        {
+            "barcode chain": [{"BC-UMI-DPM-GENOMED": "R1:1"}, {"BC-UMI-RPM-GENOMER": "R1:1"}, {"GENOME": "R2:3"}],
+            "barcode type": [
+                {"BC": {"LENGTH": 16, "MISMATCH": 1}}, {"UMI": {"LENGTH": 4, "WHITE LIST": ["NNNN"]}}, {"DPM": {"LENGTH": 3, "WHITE LIST": {"DPM": "GGT"}}},
+                {"RPM": {"LENGTH": 4, "WHITE LIST": {"RPM": "CCAT"}}}, {"GENOME": {"LENGTH": 10}},
+            ],
+            "identifier": {"CELL": "BC-ANY-DPM/RPM", "DNA": "DPM", "RNA": "RPM"},
+        }
+    )
+)
+
+
+def _identified(s, d, partial=False):
+    """Reads of barcode, UMI, tag and body, identified by CONFIG."""
+    r = reads(s, d).select("rid", F.concat("seq", "umi", F.expr("case when kind = 0 then 'GGT' when kind = 1 then 'CCAT' else 'TTTT' end"), "body").alias("s1"), F.col("body").alias("s2"), F.col("body_qual").alias("q2"))
+    mates = r.select("rid", F.struct(F.col("s1").alias("seq"), F.repeat(F.lit("I"), F.length("s1")).alias("qual")).alias("r1"), F.struct(F.col("s2").alias("seq"), F.col("q2").alias("qual")).alias("r2"))
+    return identify(materialise(mates, "mates"), "rid", CONFIG, given={"BC": whitelist(s, d)}, partial=partial)
+
+
+def barcode_capture(s, d):
+    """Corrected barcode, UMI as it stands, and the payloads of both mates."""
+    at = lambda i, f: F.get("codes", F.lit(i))[f]
+    return _identified(s, d).select("rid", at(0, "code").cast("bigint").alias("bc"), at(1, "text").alias("umi"), F.col("payload_1.seq").alias("payload_1"), F.col("payload_2.seq").alias("payload_2"), F.col("payload_2.qual").alias("qual_2"))
+
+
+def barcode_genome_fallback(s, d):
+    """The kind of genome whose chain is found: DNA where it is whole, else RNA."""
+    return _identified(s, d).select("rid", "genome", F.get("codes", F.lit(2))["text"].alias("tag"), "full")
+
+
+def identifier_route(s, d):
+    """Cell, type and route of each read; DNA and RNA reads of a barcode share the cell."""
+    return _identified(s, d).select("rid", F.col("CELL").alias("cell"), "type", "route")
+
+
+def identifier_route_all(s, d):
+    """Reads by route where those that aren't full are written too."""
+    return _identified(s, d, partial=True).groupBy("route", "full").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("CELL").alias("cells"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         barcode_exact, barcode_sparse_h1, barcode_candidates, barcode_dense_minq, barcode_fcfg, barcode_rnat, barcode_atact, barcode_prior, barcode_two_rounds, barcode_random, barcode_quality_filter, barcode_dropn,
-        barcode_laxity_scan, chain_status_hist, read_type_totals, identifier_variable_hole, identifier_pattern, identifier_assign, identifier_seeded,
+        barcode_laxity_scan, chain_status_hist, read_type_totals, identifier_variable_hole, identifier_pattern, identifier_assign, identifier_seeded, barcode_capture, barcode_genome_fallback, identifier_route, identifier_route_all,
     )
 }
 
@@ -130,6 +178,9 @@ _SCAN = (
     " left join whitelist w0 on w0.seq = substr(s, 1, 16) left join whitelist w1 on w1.seq = substr(s, 2, 16) left join whitelist w2 on w2.seq = substr(s, 3, 16)),"
     " s2 as (select rid, bc, case when substr(s, pos, 3) = 'GGT' then 'DPM' when substr(s, pos, 4) = 'CCAT' then 'RPM' end tag_type, case when substr(s, pos, 3) = 'GGT' then pos + 3 else pos + 4 end pos from s1)"
 )
+_IDENT = "id as (select r.*, pack % 1000000000000 bc, case kind when 0 then 'DPM' when 1 then 'RPM' end tag from reads r left join ex on v = r.seq), ce as (select bc, row_number() over (order by cast(bc as varchar)) c from (select distinct bc from id where bc is not null and tag is not null))"
+# a DNA chain is whole with its tag and the barcode; the RNA chain, which comes last, is taken otherwise
+_DNA = "bc is not null and tag is not null and tag = 'DPM'"
 _ATACT = "wt as (select rid, c.ord, q, pow(10.0, -q / 10.0) * greatest(coalesce(prior, 1), 1) w from ca c left join pr on pr.ord = c.ord), su as (select rid, max(w) / sum(w) share, max(w) mx from wt group by rid)"
 _RNAT = "wt as (select rid, ord, q, pow(10.0, -q / 10.0) w from ca), su as (select rid, max(w) / sum(w) share, min(q) mn from wt group by rid)"
 
@@ -153,6 +204,13 @@ SQL = {
     + "select count(*) reads, count_if(f) \"full\", count_if(dna) dna, count_if(rna) rna, count_if(not dna and not rna) ndnr, count_if(dna and f) dna_full, count_if(rna and f) rna_full, count_if(not dna and not rna and f) ndnr_full, count_if(dna and rna) \"both\", count_if(not f) \"partial\" from t",
     "identifier_variable_hole": with_views(READS, WHITELIST, _SCAN) + "select cast(bc as varchar) \"key\", count(*) n, count(distinct tag_type) kinds from s2 where bc is not null and tag_type is not null group by bc",
     "identifier_pattern": with_views(READS, WHITELIST, _SCAN) + "select case when bc is not null and tag_type is not null then 0 end \"at\", case when tag_type = 'RPM' then 1 end rna_at, count(*) n from s2 group by 1, 2",
+    "barcode_capture": with_views(READS, WHITELIST, _SPARSE, _IDENT)
+    + f"select rid, bc, 'UMI:' || umi umi, nullif(case when {_DNA} then body else substr(case kind when 0 then 'GGT' when 1 then 'CCAT' else 'TTTT' end || body, 5) end, '') payload_1, substr(body, 3, 10) payload_2, substr(body_qual, 3, 10) qual_2 from id",
+    "barcode_genome_fallback": with_views(READS, WHITELIST, _SPARSE, _IDENT) + f"select rid, case when {_DNA} then 'D' else 'R' end genome, case when {_DNA} then 'DPM' when tag = 'RPM' then 'RPM' end tag, bc is not null and tag is not null \"full\" from id",
+    "identifier_route": with_views(READS, WHITELIST, _SPARSE, _IDENT)
+    + f"select rid, case when tag is not null then c end cell, case when {_DNA} then 'DNA' when tag = 'RPM' then 'RNA' else 'NDNR' end \"type\", case when bc is not null and tag is not null then case tag when 'DPM' then 'DNA' else 'RNA' end end route from id left join ce using (bc)",
+    "identifier_route_all": with_views(READS, WHITELIST, _SPARSE, _IDENT)
+    + f"select case when {_DNA} then 'DNA' when tag = 'RPM' then 'RNA' else 'NDNR' end || '_all' route, bc is not null and tag is not null \"full\", count(*) n, count(distinct case when tag is not null then c end) cells from id left join ce using (bc) group by 1, 2",
     "identifier_assign": with_views(READS, WHITELIST, _IDS) + "select \"key\", row_number() over (order by \"key\") id, n from ks",
     "identifier_seeded": with_views(READS, WHITELIST, _IDS, "e as (select *, cast(\"key\" as bigint) o from ks)") + "select \"key\", o * 10 id, n from e where o % 2 = 0 union all select \"key\", (select max(o) * 10 from e where o % 2 = 0) + row_number() over (order by \"key\"), n from e where o % 2 = 1",
 }

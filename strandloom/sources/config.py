@@ -6,8 +6,6 @@ import json
 import re
 from dataclasses import dataclass, field
 
-from strandloom.operators.barcode import Hole
-
 
 @dataclass
 class BarcodeType:
@@ -27,6 +25,11 @@ class BarcodeType:
         """Captured as it stands (a UMI): the whitelist is N alone."""
         return bool(self.whitelist) and all(set(s.upper()) == {"N"} for _, s in self.whitelist)
 
+    @property
+    def payload(self) -> bool:
+        """What stands there is kept (of the given length, or all the rest)."""
+        return self.name.upper().startswith("GENOME")
+
 
 @dataclass
 class Chain:
@@ -56,16 +59,6 @@ class Config:
     sons: dict[str, str]
     ignored: list[str]
 
-    def holes(self, chain: Chain) -> list[Hole]:
-        """The chain as the scanner takes it, without the payload."""
-        out = []
-        for j, names in enumerate(chain.holes):
-            if names[0].upper().startswith("GENOME"):
-                break
-            first = self.types[names[0]]
-            out.append(Hole(f"hole_{j}", names, first.space, first.laxity, first.length))
-        return out
-
     def whitelist_rows(self) -> list[tuple[str, int, str, str]]:
         """(type, ord, seq, name) of all barcodes, for createDataFrame."""
         return [(t.name, i, s.upper(), n) for t in self.types.values() for i, (n, s) in enumerate(t.whitelist)]

@@ -135,7 +135,7 @@ def test_config():
     assert (bc.space, bc.laxity, bc.length, bc.mismatch, bc.dense, bc.random, bc.whitelist) == (1, 2, (4, 6), 1, True, False, [("BC:ACGT", "ACGT"), ("two", "GGCC")])
     assert c.types["UMI"].verbatim and not bc.verbatim and c.types["UMI"].length == (5, 5) and c.types["EVEN"].random
     assert c.identifiers[0].pattern == [(2, ("BC",)), (None, None), (4, ("ODD", "EVEN"))] and c.identifiers[0].anchored and c.sons == {"COMPLEX": "CELL"} and c.ignored == ["other"]
-    assert [h.name for h in c.holes(c.chains[0])] == ["hole_0", "hole_1"]
+    assert config.BarcodeType("GENOMED").payload and not bc.payload
     assert config.with_whitelist(c, "BC", [("a", "ACGTA")]).types["BC"].length == (5, 5)
     assert ("BC", 1, "GGCC", "two") in c.whitelist_rows()
     assert config.field_spec("3:UMI:UM-DPM:DP-BC") == [("3:UMI", "UM"), ("DPM", "DP"), ("BC", "BC")]
