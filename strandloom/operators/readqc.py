@@ -84,6 +84,30 @@ def gc_content(df: DataFrame) -> DataFrame:
     return theory.select("gc", "reads", F.when(F.col("sd") > 0, bell).otherwise(F.col("reads")).alias("expected"))
 
 
+def gc_grade(df: DataFrame) -> DataFrame:
+    """`value`: by how many percent of the reads the GC curve and the expected one differ, summed over 0 to 100 percent; graded."""
+    counts = gc_content(df).select("gc", "reads")
+    n, mode = F.sum("reads"), F.max_by("gc", F.struct("reads", "gc"))
+    shape = counts.agg(n.alias("n"), mode.alias("mode"), F.collect_list(F.struct("gc", "reads")).alias("all")).filter("n is not null")
+    spread = F.sqrt(F.aggregate("all", F.lit(0.0), lambda a, x: a + F.pow((x["gc"] - F.col("mode")).cast("double"), 2) * x["reads"]) / F.greatest(F.col("n") - 1, F.lit(1)))
+    grid = shape.select("n", "mode", spread.alias("sd"), F.map_from_entries("all").alias("seen"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(100).cast("bigint"))).alias("gc"))
+    seen = F.coalesce(F.col("seen")[F.col("gc")], F.lit(0))
+    bell = F.col("n") * F.exp(-F.pow(F.col("gc") - F.col("mode"), 2) / (2 * F.pow("sd", 2))) / (F.col("sd") * 2.5066282746310002)
+    off = F.when(F.col("sd") > 0, F.abs(seen - bell)).otherwise(0.0)
+    return grid.agg((100.0 * F.sum(off) / F.max("n")).alias("value")).withColumn("grade", grade(F.col("value"), "gc"))
+
+
+def lengths_grade(df: DataFrame) -> DataFrame:
+    """`value`: how many lengths there are; warns where reads differ in length, fails where one is empty."""
+    d = lengths(df).agg(F.count(F.lit(1)).cast("double").alias("value"), F.min("length").alias("_least"))
+    return d.select("value", F.when(F.col("_least") == 0, "fail").when(F.col("value") > 1, "warn").otherwise("pass").alias("grade"))
+
+
+def adapter_grade(df: DataFrame) -> DataFrame:
+    """`value`: the largest percent of reads that have begun an adapter, graded."""
+    return adapter_content(df).agg(F.max("percent").alias("value")).withColumn("grade", grade(F.col("value"), "adapter"))
+
+
 def n_content(df: DataFrame) -> DataFrame:
     """pos and percent of N, graded."""
     return _bases(df).groupBy("pos").agg((100.0 * F.count_if(F.upper("base") == "N") / F.count(F.lit(1))).alias("n")).withColumn("grade", grade(F.col("n"), "n_content"))

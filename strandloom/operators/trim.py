@@ -160,19 +160,23 @@ def long_enough(df: DataFrame, least: int = 20, most: int | None = None, max_n:
     return df.filter(ok)
 
 
-def validate_pairs(r1: DataFrame, r2: DataFrame, key: str, least: int = 20, unpaired: tuple[int, int] | None = None) -> DataFrame:
+def validate_pairs(r1: DataFrame, r2: DataFrame, key: str, least: int = 20, unpaired: tuple[int, int] | None = None, max_n: int | None = None) -> DataFrame:
     """Mates joined on their ordinal: key, seq1, qual1, seq2, qual2, state.
 
-    state: pair if both mates have `least` bases; with `unpaired` = (least1, least2) also only1 or
-    only2 where one mate alone is long enough; else dropped. A read without mate raises an error:
-    one of the files was cut short.
+    state: dropped if either mate has more than `max_n` N; pair if both mates have `least` bases; with
+    `unpaired` = (least1, least2) also only1 or only2 where one mate alone is long enough; else
+    dropped. A read without mate raises an error: one of the files was cut short.
     """
     a = r1.select(key, F.col("seq").alias("seq1"), F.col("qual").alias("qual1"), F.lit(True).alias("_1"))
     b = r2.select(key, F.col("seq").alias("seq2"), F.col("qual").alias("qual2"), F.lit(True).alias("_2"))
     both = a.join(b, key, "full_outer")
     missing = F.col("_1").isNull() | F.col("_2").isNull()
     good = (F.length("seq1") >= least) & (F.length("seq2") >= least)
-    state = F.when(missing, F.raise_error(F.concat(F.lit("a mate is missing: "), F.col(key).cast("string")))).when(good, "pair")
+    state = F.when(missing, F.raise_error(F.concat(F.lit("a mate is missing: "), F.col(key).cast("string"))))
+    if max_n is not None:
+        unknown = lambda c: F.length(c) - F.length(F.replace(F.upper(c), F.lit("N"), F.lit("")))
+        state = state.when((unknown(F.col("seq1")) > max_n) | (unknown(F.col("seq2")) > max_n), "dropped")
+    state = state.when(good, "pair")
     if unpaired:
         state = state.when(F.length("seq1") >= unpaired[0], "only1").when(F.length("seq2") >= unpaired[1], "only2")
     return both.select(key, "seq1", "qual1", "seq2", "qual2", state.otherwise("dropped").alias("state"))
@@ -218,14 +222,23 @@ def detect_poly(df: DataFrame) -> DataFrame:
     return counts.withColumn("polymer", F.when(F.col("poly_t") > F.col("poly_a"), "T").otherwise("A"))
 
 
-def trim_poly_a(df: DataFrame, least: int = 3) -> DataFrame:
-    """A's off the 3' end where there are `least` of them; the name gets their number in front and behind.
+def trim_poly(df: DataFrame, letter: str = "A", end: int = 3, least: int = 3) -> DataFrame:
+    """A run of at least `least` of `letter` off the 3' end, or off the 5' end; the name gets its length in front and behind.
 
-    Names become n:name_PolyA:n, which is how trimmed tails can be told later.
+    Names become n:name_PolyA:n, which is how trimmed tails can be told later. Read 1 loses the
+    polymer of detect_poly at its 3' end, read 2 the other one at its 5' end.
     """
-    tail = F.length(F.regexp_extract("seq", f"(A{{{least},}})$", 1))
-    kept = df.withColumn("_tail", tail).withColumn("name", F.when(F.col("_tail") > 0, F.concat(F.col("_tail").cast("string"), F.lit(":"), F.col("name"), F.lit("_PolyA:"), F.col("_tail").cast("string"))).otherwise(F.col("name")))
-    return keep_first(kept, F.length("seq") - F.col("_tail")).drop("_tail")
+    run = F.length(F.regexp_extract("seq", f"({letter}{{{least},}})$" if end == 3 else f"^({letter}{{{least},}})", 1))
+    size = F.col("_run").cast("string")
+    kept = df.withColumn("_run", run).withColumn("name", F.when(F.col("_run") > 0, F.concat(size, F.lit(":"), F.col("name"), F.lit(f"_Poly{letter}:"), size)).otherwise(F.col("name")))
+    if end == 3:
+        return keep_first(kept, F.length("seq") - F.col("_run")).drop("_run")
+    return kept.withColumns({c: F.substr(F.col(c), F.col("_run") + 1) for c in ("seq", "qual")}).drop("_run")
+
+
+def trim_poly_a(df: DataFrame, least: int = 3) -> DataFrame:
+    """A's off the 3' end."""
+    return trim_poly(df, "A", 3, least)
 
 
 def reverse_complement(seq: Column) -> Column:

@@ -91,14 +91,30 @@ def polya_trim(s, d):
     return T.trim_poly_a(f).select("rid", "name", "seq", "qual")
 
 
+def polyt_trim(s, d):
+    """T's off the 3' end of read 1, A's off the 5' end of read 2, its reverse complement."""
+    f = fastq(s, d).withColumns({"seq": F.concat("seq", F.expr("repeat('T', cast(cell % 7 as int))")), "qual": F.concat("qual", F.expr("repeat('I', cast(cell % 7 as int))"))})
+    mate = f.withColumns({"seq": T.reverse_complement(F.col("seq")), "qual": F.reverse("qual")})
+    one, two = T.trim_poly(f, "T").select("rid", "name", "seq"), T.trim_poly(mate, "A", end=5).select("rid", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
+    return one.join(two, "rid")
+
+
+def trim_pair_n(s, d):
+    """Pairs whose mates have at most one N."""
+    r = reads(s, d).select("rid", "seq", "qual")
+    mate = r.select("rid", F.reverse("seq").alias("seq"), F.reverse("qual").alias("qual"))
+    return T.validate_pairs(r, mate, "rid", 10, max_n=0).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
 def reverse_complement(s, d):
     return fastq(s, d).select("rid", T.reverse_complement(F.col("seq")).alias("seq"))
 
 
 def prefix_removal(s, d):
-    """Reads without the 5' adapters, which are the first bases of the reads of one cell."""
+    """Reads without the 5' adapters, which are the starts that at least one in 1000 reads have."""
     f = fastq(s, d)
-    adapters = f.filter("cell = 7").select(F.expr("substr(seq, 1, cast(4 + kind as int))").alias("adapter")).distinct()
+    starts = f.groupBy(F.expr("substr(seq, 1, cast(4 + kind as int))").alias("adapter")).agg(F.count(F.lit(1)).alias("n"))
+    adapters = materialise(starts.join(F.broadcast(f.agg(F.count(F.lit(1)).alias("all")))).filter("n * 1000 >= all").select("adapter"), "adapters")
     return T.remove_prefixes(f.select("rid", "seq", "qual"), adapters).groupBy(F.length("seq").cast("bigint").alias("length")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -148,16 +164,27 @@ def qc_overrepresented(s, d):
 
 
 def qc_contaminants(s, d):
-    """Barcodes against a list made of the reads of one cell, with one base changed."""
-    found = reads(s, d).select(F.col("truth").alias("sequence")).distinct()
-    known = reads(s, d).filter("cell = 3").select(F.concat(F.lit("c"), "truth").alias("name"), F.col("seq").alias("contaminant")).distinct()
-    return Q.contaminants(found, known, overlap=14)
+    """Overrepresented reads against the list of contaminants, which are the true barcodes of the reads."""
+    r = reads(s, d)
+    known = r.select(F.concat(F.lit("c"), "truth").alias("name"), F.col("truth").alias("contaminant")).distinct()
+    return Q.contaminants(Q.overrepresented(r, 0.05), known, overlap=14)
 
 
 def qc_adapter(s, d):
     return Q.adapter_content(fastq(s, d)).withColumn("percent", F.round("percent", 6))
 
 
+def qc_grades(s, d):
+    """Grades of GC content, read lengths and adapter content."""
+    f = fastq(s, d)
+    parts = {"gc": Q.gc_grade(f), "lengths": Q.lengths_grade(T.trim_quality(f)), "adapter": Q.adapter_grade(f)}
+    out = None
+    for name, part in parts.items():
+        rows = part.select(F.lit(name).alias("module"), F.round("value", 4).alias("value"), "grade")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def qc_kmer(s, d):
     k = Q.kmers(fastq(s, d), 5)
     return k.filter("seen >= 20").select("kmer", "pos", "seen", F.round("ratio", 6).alias("ratio"), F.round("z", 5).alias("z"))
@@ -170,8 +197,8 @@ def qc_tile(s, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        trim_quality, trim_two_colour, trim_adapter_detect, trim_adapter, trim_clip, trim_length, trim_hard5, trim_hard3, trim_pair_validate, umi_transfer, clock_trim, rrbs_trim, polya_detect, polya_trim, reverse_complement, prefix_removal, trim_report,
-        qc_basic, qc_base_quality, qc_sequence_quality, qc_composition, qc_gc, qc_n, qc_lengths, qc_duplication, qc_remaining, qc_overrepresented, qc_contaminants, qc_adapter, qc_kmer, qc_tile,
+        trim_quality, trim_two_colour, trim_adapter_detect, trim_adapter, trim_clip, trim_length, trim_hard5, trim_hard3, trim_pair_validate, umi_transfer, clock_trim, rrbs_trim, polya_detect, polya_trim, polyt_trim, trim_pair_n, reverse_complement, prefix_removal, trim_report,
+        qc_basic, qc_base_quality, qc_sequence_quality, qc_composition, qc_gc, qc_n, qc_lengths, qc_duplication, qc_remaining, qc_overrepresented, qc_contaminants, qc_adapter, qc_grades, qc_kmer, qc_tile,
     )
 }
 
@@ -221,8 +248,11 @@ SQL = {
     "rrbs_trim": with_views(READS, FASTQ, _adapter_sql("fq", "a", "CTGTCTCTTATA", 5), "t as (select rid, substr(seq, 1, cut) seq from a)") + "select rid, case when length(seq) > 2 and (seq like 'CAA%' or seq like 'CGA%') then substr(seq, 3) when length(seq) < 64 and length(seq) >= 3 then substr(seq, 1, length(seq) - 2) else seq end seq from t",
     "polya_detect": with_views(READS, FASTQ, "t as (select seq || repeat(case when kind = 0 then 'A' else 'T' end, cell % 15) s from fq)") + "select count_if(contains(s, repeat('A', 10))) poly_a, count_if(contains(s, repeat('T', 10))) poly_t, case when count_if(contains(s, repeat('T', 10))) > count_if(contains(s, repeat('A', 10))) then 'T' else 'A' end polymer from t",
     "polya_trim": with_views(READS, FASTQ, "t as (select rid, \"name\", seq || repeat('A', cell % 7) seq, qual || repeat('I', cell % 7) qual from fq)", "u as (select *, length(regexp_extract(seq, '(A{3,})$', 1)) k from t)") + "select rid, case when k > 0 then k || ':' || \"name\" || '_PolyA:' || k else \"name\" end \"name\", substr(seq, 1, length(seq) - k) seq, substr(qual, 1, length(seq) - k) qual from u",
+    "polyt_trim": with_views(READS, FASTQ, "t as (select rid, \"name\", seq || repeat('T', cell % 7) seq, qual || repeat('I', cell % 7) qual from fq)", "u as (select *, length(regexp_extract(seq, '(T{3,})$', 1)) k from t)")
+    + "select rid, case when k > 0 then k || ':' || \"name\" || '_PolyT:' || k else \"name\" end \"name\", substr(seq, 1, length(seq) - k) seq, substr(translate(reverse(seq), 'ACGT', 'TGCA'), k + 1) seq2, substr(reverse(qual), k + 1) qual2 from u",
+    "trim_pair_n": with_views(READS) + "select case when seq like '%N%' then 'dropped' else 'pair' end state, count(*) n from reads group by 1",
     "reverse_complement": _FQ + f"select rid, {_RC} seq from fq",
-    "prefix_removal": with_views(READS, FASTQ, "ad as (select distinct substr(seq, 1, 4 + kind) a from fq where cell = 7)", "t as (select 64 - case when substr(seq, 1, 6) in (select a from ad) then 6 when substr(seq, 1, 5) in (select a from ad) then 5 when substr(seq, 1, 4) in (select a from ad) then 4 else 0 end l from fq)") + "select l length, count(*) n from t group by l",
+    "prefix_removal": with_views(READS, FASTQ, "ad as (select substr(seq, 1, 4 + kind) a from fq group by 1 having count(*) * 1000 >= (select count(*) from fq))", "t as (select 64 - case when substr(seq, 1, 6) in (select a from ad) then 6 when substr(seq, 1, 5) in (select a from ad) then 5 when substr(seq, 1, 4) in (select a from ad) then 4 else 0 end l from fq)") + "select l length, count(*) n from t group by l",
     "trim_report": with_views(READS, FASTQ, _cut_sql("fq", 20, "c"), "t as (select rid, substr(seq, 1, keep) seq from c)", _adapter_sql("t", "a", "AGATCGGAAGAGC")) + "select (select count(*) from fq) reads_in, (select cast(sum(length(seq)) as bigint) from fq) bases_in, count(*) reads_out, cast(sum(cut) as bigint) bases_out from a where cut >= 20",
     "qc_basic": _FQ + "select count(*) reads, min(length(seq)) shortest, max(length(seq)) longest, cast(floor(sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) * 100 / sum(length(regexp_replace(seq, '[^ACGT]', '', 'g')))) as bigint) gc from fq",
     "qc_base_quality": with_views(READS, FASTQ, _POS.format("fq"), "w as (select pos, q, row_number() over (partition by pos order by q) r, count(*) over (partition by pos) n from bs)", "o as (select pos, avg(q) mean, " + ", ".join(f"min(case when r * 100 >= n * {p} then q end) p{p}" for p in (10, 25, 50, 75, 90)) + " from w group by pos)")
@@ -237,7 +267,11 @@ SQL = {
     "qc_duplication": with_views(READS, "k as (select count(*) k from reads group by seq)") + "select least(k, 10) \"level\", count(*) sequences, cast(sum(k) as bigint) reads from k group by 1",
     "qc_remaining": with_views(READS, "k as (select count(*) k from reads group by seq)", "o as (select 100.0 * count(*) / sum(k) r from k)") + "select round(r, 6) remaining, " + _L.format("r", 70, 50) + " grade from o",
     "qc_overrepresented": with_views(READS, "k as (select seq \"sequence\", count(*) reads, 100.0 * count(*) / (select count(*) from reads) p from reads group by seq)") + "select \"sequence\", reads, round(p, 6) percent, " + _G.format("p", 0.1, 1) + " grade from k where p > 0.1",
-    "qc_contaminants": with_views(READS, "f as (select distinct truth s from reads)", "k as (select distinct 'c' || truth \"name\", seq c from reads where cell = 3)", "fw as (select s, substr(s, i, 14) w from (select s, unnest(range(1, 4)) i from f))", "kw as (select \"name\", substr(c, i, 14) w from (select \"name\", c, unnest(range(1, 4)) i from k))") + "select distinct s \"sequence\", \"name\" from fw join kw on hamming(fw.w, kw.w) <= 1",
+    "qc_contaminants": with_views(READS, "f as (select seq s from reads group by seq having 100.0 * count(*) / (select count(*) from reads) > 0.05)", "k as (select distinct 'c' || truth \"name\", truth c from reads)", "fw as (select s, substr(s, i, 14) w from (select s, unnest(range(1, 4)) i from f))", "kw as (select \"name\", substr(c, i, 14) w from (select \"name\", c, unnest(range(1, 4)) i from k))") + "select distinct s \"sequence\", \"name\" from fw join kw on hamming(fw.w, kw.w) <= 1",
+    "qc_grades": with_views(READS, FASTQ, _cut_sql("fq", 20, "c"), "h as (select cast(round(length(regexp_replace(seq, '[^GC]', '', 'g')) * 100.0 / length(seq)) as bigint) gc, count(*) reads from fq group by 1)", "m as (select arg_max(gc, reads * 1000 + gc) md, sum(reads) n from h)", "sp as (select md, n, sqrt(sum((gc - md) * (gc - md) * reads) / greatest(n - 1, 1)) sd from h, m group by md, n)",
+        "g as (select 100.0 * sum(abs(coalesce(reads, 0) - n * exp(-((r.gc - md) * (r.gc - md)) / (2 * sd * sd)) / (sd * 2.5066282746310002))) / max(n) v from sp, range(0, 101) r(gc) left join h on h.gc = r.gc)", "l as (select cast(count(distinct keep) as double) v, min(keep) lo from c)",
+        "ap as (select case when instr(seq, a) > 0 then 1 else 0 end hit, a from fq, (values " + ", ".join(f"('{a}')" for a in Q.ADAPTERS.values()) + ") v(a))", "ad as (select max(p) v from (select 100.0 * sum(hit) / count(*) p from ap group by a))")
+    + "select 'gc' \"module\", round(v, 4) \"value\", " + _G.format("v", 15, 30) + " grade from g union all select 'lengths', v, case when lo = 0 then 'fail' when v > 1 then 'warn' else 'pass' end from l union all select 'adapter', round(v, 4), " + _G.format("v", 5, 10) + " from ad",
     "qc_adapter": with_views(READS, FASTQ, "ad as (select * from (values " + ", ".join("('" + k.replace("'", "''") + f"', '{a}')" for k, a in Q.ADAPTERS.items()) + ") v(adapter, a))", "h as (select adapter, instr(seq, a) p from fq, ad)")
     + "select adapter, g.pos, round(100.0 * count_if(p > 0 and p <= g.pos) / count(*), 6) percent from h, range(1, 65) g(pos) group by all",
     "qc_kmer": with_views(READS, FASTQ, "r as (select i pos, substr(seq, i, 5) kmer from (select seq, unnest(range(1, 61)) i from fq))", "c as (select kmer, pos, count(*) seen from r group by all)", "e as (select *, sum(seen) over (partition by kmer) k, sum(seen) over (partition by pos) p, sum(seen) over () n from c)")

@@ -145,3 +145,28 @@ def test_qc_of_nothing(spark):
     none = fq(spark, [("A", "I")]).limit(0)
     assert Q.per_base_quality(none).collect() == [] and Q.duplication(none).collect() == [] and Q.kmers(none).collect() == []
     assert Q.basic(none).first().reads == 0
+
+
+def test_poly_tails_at_both_ends(spark):
+    df = spark.createDataFrame([("a", "ACGTTTT", "1234567"), ("b", "ACGTT", "12345"), ("c", "TTTT", "1234"), ("d", None, None), ("e", "", "")], "name string, seq string, qual string")
+    three = {r.name: (r.seq, r.qual) for r in T.trim_poly(df, "T").collect()}
+    assert three == {"4:a_PolyT:4": ("ACG", "123"), "b": ("ACGTT", "12345"), "4:c_PolyT:4": ("", ""), "d": (None, None), "e": ("", "")}
+    five = {r.name: (r.seq, r.qual) for r in T.trim_poly(df.withColumn("seq", F.reverse("seq")), "T", end=5).collect()}
+    assert five["4:a_PolyT:4"] == ("GCA", "567") and five["b"] == ("TTGCA", "12345")
+
+
+def test_pairs_with_too_many_n(spark):
+    one = spark.createDataFrame([(1, "ACGTN", "IIIII"), (2, "ANNGT", "IIIII"), (3, "ACGT", "IIII"), (4, "nnnnn", "IIIII")], "k int, seq string, qual string")
+    two = spark.createDataFrame([(k, "ACGTA", "IIIII") for k in (1, 2, 3, 4)], "k int, seq string, qual string")
+    state = lambda **more: {r.k: r.state for r in T.validate_pairs(one, two, "k", 5, **more).collect()}
+    assert state(max_n=1) == {1: "pair", 2: "dropped", 3: "dropped", 4: "dropped"} and state() == {1: "pair", 2: "pair", 3: "dropped", 4: "pair"}
+    assert state(max_n=1, unpaired=(4, 4)) == {1: "pair", 2: "dropped", 3: "only1", 4: "dropped"}
+
+
+def test_grades(spark):
+    df = lambda *seqs: spark.createDataFrame([(s, "I" * len(s)) for s in seqs], "seq string, qual string")
+    assert [(r.value, r.grade) for r in Q.lengths_grade(df("ACG", "AC", "")).collect()] == [(3.0, "fail")]
+    assert [r.grade for r in Q.lengths_grade(df("ACG", "ACT")).collect()] == ["pass"] and [r.grade for r in Q.lengths_grade(df("ACG", "AC")).collect()] == ["warn"]
+    assert [(r.value, r.grade) for r in Q.gc_grade(df("AC", "GT")).collect()] == [(0.0, "pass")]
+    assert Q.gc_grade(df("AC", "GT", "GG", "AA", "AAAAAAAAAC")).first().grade == "fail"
+    assert [(r.value, r.grade) for r in Q.adapter_grade(df("AGATCGGAAGAGC", "ACGTACGTACGTACGT")).collect()] == [(50.0, "fail")]
