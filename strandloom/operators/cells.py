@@ -102,14 +102,20 @@ def inflection(totals: DataFrame, lower: int = 100, exclude: int = 50) -> DataFr
     return enough.filter("slope is not null and not skipped and _points >= 3").agg(steepest)
 
 
-def knee(totals: DataFrame, lower: int = 100) -> DataFrame:
-    """The total of least curvature of the curve, by differences over three neighbouring points."""
-    w = Window.orderBy("x")
-    bend = rank_curve(totals, lower, 0).withColumn("after", F.lead("slope").over(w))
-    mid = (F.lead("x", 2).over(w) - F.col("x")) / 2
-    curved = bend.withColumn("second", (F.col("after") - F.col("slope")) / mid).withColumn("at", F.lead("total").over(w))
-    curvature = F.col("second") / F.pow(1 + F.pow((F.col("after") + F.col("slope")) / 2, 2), 1.5)
-    return curved.withColumn("curvature", curvature).filter("curvature is not null").agg(F.min_by("at", F.struct("curvature", "x")).alias("knee"))
+def knee(totals: DataFrame, lower: int = 100, exclude: int = 50) -> DataFrame:
+    """The total of least curvature between the flattest and the steepest step of the curve (one row).
+
+    Slope and curvature are differences over neighbouring points. Where fewer than four points lie
+    from the flattest step up to the steepest one, it is the total of the flattest.
+    """
+    by_x, all_ = Window.orderBy("x"), Window.partitionBy()
+    curve = rank_curve(totals, lower, exclude).withColumn("i", F.row_number().over(by_x)).withColumn("before", F.lag("slope").over(by_x)).withColumn("wide", (F.lead("x").over(by_x) - F.lag("x").over(by_x)) / 2)
+    usable = F.when(F.col("slope").isNotNull() & ~F.col("skipped"), F.col("i"))
+    left, right = F.max_by(usable, F.when(usable.isNotNull(), F.struct("slope", -F.col("i")))), F.min_by(usable, F.when(usable.isNotNull(), F.struct("slope", "i")))
+    inside = curve.withColumn("l", left.over(all_)).withColumn("r", right.over(all_)).filter("i >= l and i < greatest(r, l + 1)")
+    bend = ((F.col("slope") - F.col("before")) / F.col("wide")) / F.pow(1 + F.pow((F.col("slope") + F.col("before")) / 2, 2), 1.5)
+    bent = inside.withColumn("bend", F.when(F.col("r") - F.col("l") >= 4, bend))
+    return bent.agg(F.coalesce(F.min_by("total", F.when(F.col("bend").isNotNull(), F.struct("bend", "i"))), F.min_by("total", "i")).alias("knee"))
 
 
 def called(totals: DataFrame, lower: int = 100, exclude: int = 50) -> DataFrame:

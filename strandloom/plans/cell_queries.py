@@ -6,13 +6,20 @@ from pyspark.sql import functions as F
 
 from strandloom.operators import alignments as A
 from strandloom.operators import cells as X
-from strandloom.plans.cluster_queries import COVERAGE, PEAKS, cov_peaks
+from strandloom.operators import genomic as G
+from strandloom.plans.cluster_queries import COVERAGE, PEAK, PEAKS
 from strandloom.plans.views import ALIGNMENTS, FRAGS, READS, alignments, frags, reads, with_views
 from strandloom.storage import materialise, table
 
 
+def _frags(s, d):
+    """The fragments as a table of their own, as they are read several times."""
+    return materialise(frags(s, d).select("cell", *X.PEAK), "frags")
+
+
 def _counts(s, d):
-    return X.peak_cell_counts(frags(s, d), cov_peaks(s, d))
+    own = _frags(s, d)
+    return X.peak_cell_counts(own, materialise(G.peaks(G.coverage(own), **PEAK), "peaks"))
 
 
 def _totals(s, d):
@@ -47,7 +54,7 @@ def cell_similarity(s, d):
 
 def cell_doublets(s, d):
     """Cells that the doublet filter keeps."""
-    return X.keep_singlets(frags(s, d))
+    return X.keep_singlets(_frags(s, d))
 
 
 def cell_rank_curve(s, d):
@@ -190,6 +197,10 @@ SQL = {
     "cell_doublets": with_views(FRAGS, _SIM, "be as (select a, arg_max(b, n * 1000000000000 - b) best from si group by a)") + "select cell from (select distinct cell from frags) c left join be on be.a = c.cell where coalesce(best, (select min(cell) from frags)) = cell",
     "cell_rank_curve": with_views(_CURVE) + "select total, k, cast(rank as double) rank, round(x, 6) x, round(y, 6) y, round(slope, 5) slope, skipped from cu",
     "cell_inflection": with_views(_CURVE) + "select arg_min(total, slope) inflection from cu where slope is not null and not skipped",
+    "cell_knee": with_views(_CURVE, "w as (select *, row_number() over (order by x) i, lag(slope) over (order by x) bf, (lead(x) over (order by x) - lag(x) over (order by x)) / 2 wd from cu)",
+        "e as (select (select i from w where slope is not null and not skipped order by slope desc, i limit 1) l, (select i from w where slope is not null and not skipped order by slope, i limit 1) r)",
+        "b as (select total, i, case when r - l >= 4 then ((slope - bf) / wd) / pow(1 + pow((slope + bf) / 2, 2), 1.5) end bend from w, e where i >= l and i < greatest(r, l + 1))")
+    + "select coalesce((select total from b where bend is not null order by bend, i limit 1), (select total from b order by i limit 1)) knee",
     "cell_called": with_views(_CURVE) + "select lib || '/' || cell cell, min(n_umi) total from umi_counts where n_umi >= 0 group by lib, umi_counts.cell having min(n_umi) >= (select arg_min(total, slope) from cu where slope is not null and not skipped)",
     "cell_sync": "select a.idb_key, coalesce('CELL_' || r.id, 'ATAC-A' || a.id) cell from (select * from cell_idb where id % 3 <> 0 and idb_key is not null) a left join (select * from cell_idb where id % 3 <> 1 and idb_key is not null) r using (idb_key)",
     "cell_sync_filter": "select count(*) cells from (select * from cell_idb where id % 3 <> 0 and idb_key is not null) a join (select * from cell_idb where id % 3 <> 1 and idb_key is not null) r using (idb_key)",
