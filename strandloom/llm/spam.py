@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.storage import materialise
@@ -220,10 +220,10 @@ def robust(described: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.n
     centre = medians(rows, FEATURES)
     if not centre:
         return {}
-    off = [F.abs(F.col(f) - _by_language({k: v[j] for k, v in centre.items()})) for j, f in enumerate(FEATURES)]
-    scale = {k: np.maximum(1.4826 * v, FLOOR) for k, v in medians(rows, off).items()}
-    z = [(F.col(f) - _by_language({k: v[j] for k, v in centre.items()})) / _by_language({k: v[j] for k, v in scale.items()}) for j, f in enumerate(FEATURES)]
-    scaled = rows.select("language", *[c.alias(f) for c, f in zip(z, FEATURES)])
+    off = [F.abs(F.col(f) - F.col(f"_c{j}")) for j, f in enumerate(FEATURES)]
+    scale = {k: np.maximum(1.4826 * v, FLOOR) for k, v in medians(_told(rows, {k: {"c": v} for k, v in centre.items()}), off).items()}
+    z = [((F.col(f) - F.col(f"_c{j}")) / F.col(f"_s{j}")).alias(f) for j, f in enumerate(FEATURES)]
+    scaled = materialise(_told(rows, {k: {"c": centre[k], "s": scale[k]} for k in scale}).select("language", *z), "scaled")
 
     def moments(df: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         found = df.groupBy("language").agg(*[F.avg(f).alias(f) for f in FEATURES], *[F.avg(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in FEATURES for b in FEATURES]).collect()
@@ -237,22 +237,26 @@ def robust(described: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.n
     at = {k: (np.zeros(len(FEATURES)), inverse) for k, (_, inverse) in moments(scaled.select("language", *[F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), F.col(f))).alias(f) for f in FEATURES])).items()}
 
     def measured() -> DataFrame:
-        off = [F.col(f) - _by_language({k: v[0][j] for k, v in at.items()}) for j, f in enumerate(FEATURES)]
-        squared = sum(off[i] * off[j] * _by_language({k: v[1][i, j] for k, v in at.items()}) for i in range(len(off)) for j in range(len(off)))
-        return scaled.withColumn("_squared", squared)
+        d = [F.col(f) - F.col(f"_m{j}") for j, f in enumerate(FEATURES)]
+        pairs = [(i, j) for i in range(len(d)) for j in range(i, len(d))]
+        weights = {k: {"m": mean, "w": np.array([inverse[i, j] * (1 if i == j else 2) for i, j in pairs])} for k, (mean, inverse) in at.items()}
+        return _told(scaled, weights).select("language", *FEATURES, sum(d[i] * d[j] * F.col(f"_w{n}") for n, (i, j) in enumerate(pairs)).alias("_squared"))
 
     def quantile(share: float) -> dict[str, float]:
         return {r.language: r.q for r in measured().groupBy("language").agg(F.percentile_approx("_squared", share, 10_000).alias("q")).collect()}
 
     for _ in range(STEPS):
-        nearest = measured().filter(F.col("_squared") <= _by_language(quantile(KEPT)))
-        at = moments(nearest)
+        near = {k: {"q": np.array([q])} for k, q in quantile(KEPT).items()}
+        at = moments(_told(measured(), near).filter("_squared <= _q0"))
     half = quantile(0.5)
     return {k: (centre[k] + mean * scale[k], scale[k], inverse * (CHI_MEDIAN / max(half[k], 1e-9))) for k, (mean, inverse) in at.items()}
 
 
-def _by_language(values: dict[str, float]) -> Column:
-    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))])[F.col("language")]
+def _told(df: DataFrame, numbers: dict[str, dict[str, np.ndarray]]) -> DataFrame:
+    """`df` with the numbers of its language (a handful of rows) as columns _name0, _name1, ..."""
+    names = [f"_{k}{j}" for k, v in next(iter(numbers.values())).items() for j in range(len(v))]
+    rows = [(language, *[float(x) for v in own.values() for x in v]) for language, own in numbers.items()]
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, ", ".join(["language string", *[f"{n} double" for n in names]]))), "language")
 
 
 def scored(described: DataFrame, models: dict, directions: list[np.ndarray]) -> DataFrame:
