@@ -38,8 +38,8 @@ CUTOFF = 18.47
 #: Smallest scale of a feature, for those that are zero in most documents.
 FLOOR = 0.02
 LABELLED, FEW = 20_000, 5
-#: A word is a listed one if it returns in at least so many reviewed pages that are no spam, and for each spam page in so many others.
-LISTED, LISTED_TO_SPAM = 2, 4
+#: A word is a listed one if it returns in at least so many reviewed pages that are no spam, and in a larger share of those than of spam.
+LISTED = 2
 #: A deviation points in a spam direction if that component is this share of the squared distance:
 #: the fit takes the smallest share that tells reviewed pages apart best.
 POINTING = (0.5, 0.6, 0.7, 0.8)
@@ -157,7 +157,7 @@ def _reviewed(labels: DataFrame, key: str, labelled: int) -> DataFrame:
 
 
 def listed_words(docs: DataFrame, key: str, text: str, labels: DataFrame, labelled: int = LABELLED) -> frozenset[str]:
-    """Words that return in at least LISTED reviewed pages that are no spam, LISTED_TO_SPAM for each spam page.
+    """Words that return in at least LISTED reviewed pages that are no spam, and in a larger share of those than of spam.
 
     At most `labelled` reviewed pages are read, which bounds the words that come back.
     """
@@ -172,11 +172,15 @@ def listed_words(docs: DataFrame, key: str, text: str, labels: DataFrame, labell
                 names = list(vocabulary.number)
                 words += [names[i] for i in found]
                 spam += [s] * len(found)
+                words.append(None)
+                spam.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(spam, pa.bool_())], ["word", "spam"])
 
     pages = docs.select(F.col(key), F.col(text).alias("text")).filter("text is not null and text <> ''").join(_reviewed(labels, key, labelled), key).select("text", "spam")
-    counted = pages.mapInArrow(returning, "word string, spam boolean").groupBy("word").agg(F.count_if("spam").alias("spam"), F.count_if(~F.col("spam")).alias("other"))
-    return frozenset(r.word for r in counted.filter((F.col("other") >= LISTED) & (F.col("other") >= F.col("spam") * LISTED_TO_SPAM)).collect())
+    counted = materialise(pages.mapInArrow(returning, "word string, spam boolean").groupBy("word").agg(F.count_if("spam").alias("spam"), F.count_if(~F.col("spam")).alias("other")), "words")
+    pages_of = counted.filter("word is null").select(F.col("spam").alias("all_spam"), F.col("other").alias("all_other"))
+    more = (F.col("spam") == 0) | (F.col("other") * F.col("all_spam") > F.col("spam") * F.col("all_other"))
+    return frozenset(r.word for r in counted.filter("word is not null").join(F.broadcast(pages_of)).filter((F.col("other") >= LISTED) & more).collect())
 
 
 def features(docs: DataFrame, key: str, text: str, lang: str | None = None, listed: frozenset[str] = frozenset()) -> DataFrame:

@@ -109,8 +109,10 @@ def test_pages_of_bare_links(spark):
 
 def test_listed_words_come_from_reviewed_pages(spark):
     page = "motion on harbour policy motion on school policy"
-    docs = spark.createDataFrame([(i, page) for i in range(4)] + [(4, "cheap taps cheap taps"), (5, "motion taps motion taps"), (6, None), (7, "")], "doc_id bigint, text string")
-    labels = spark.createDataFrame([(i, "ok") for i in range(4)] + [(4, "spam"), (5, "spam"), (6, "ok"), (7, None), (9, "ok")], "doc_id bigint, label string")
-    assert S.listed_words(docs, "doc_id", "text", labels) == {"motion", "policy"}
-    assert S.listed_words(docs, "doc_id", "text", labels.filter("doc_id <> 3")) == {"policy"}  # motion: 3 pages to 1 of spam
+    docs = spark.createDataFrame([(i, page) for i in range(4)] + [(4, "cheap taps cheap taps"), (5, "motion taps motion taps"), (6, None), (7, ""), (8, "taps leak taps leak"), (9, "taps leak taps leak")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "ok") for i in (0, 1, 2, 3, 6, 8, 9, 99)] + [(4, "spam"), (5, "spam"), (7, None)], "doc_id bigint, label string")
+    # motion: 4 of 6 pages against 1 of 2 of spam; taps: 2 of 6 against 2 of 2
+    assert S.listed_words(docs, "doc_id", "text", labels) == {"motion", "policy", "leak"}
+    assert S.listed_words(docs, "doc_id", "text", labels.filter("doc_id not in (2, 3)")) == {"policy", "leak"}
+    assert S.listed_words(docs, "doc_id", "text", labels.filter("label = 'ok'")) == {"motion", "policy", "taps", "leak"}
     assert S.listed_words(docs, "doc_id", "text", labels.limit(0)) == frozenset()
