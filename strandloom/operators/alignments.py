@@ -89,3 +89,10 @@ def choose(barcodes: Column, spec: str) -> Column:
         found = F.get(barcodes, F.lit(int(place) - 1))
         return F.when(F.lit(not kind) | (found["type"] == kind), found["value"]) if kind else found["value"]
     return F.get(F.filter(barcodes, lambda b: b["type"] == place), F.lit(0))["value"]
+
+
+def extra_tags(barcodes: Column, text: str) -> dict[str, Column]:
+    """Two-letter tag -> value of each barcode that a text such as '3:UMI:UM-DPM:DP' names, for the SAM sink."""
+    from strandloom.sources.config import field_spec
+
+    return {tag: choose(barcodes, spec) for spec, tag in field_spec(text)}

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import gzip
 import struct
 from collections.abc import Iterator
-from glob import glob
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from strandloom.sources import files
+
 SCHEMA = "qname string, flag int, rname string, pos bigint, mapq int, cigar string, rnext string, pnext bigint, tlen bigint, seq string, qual string, tags map<string,string>"
 FIELDS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
 _NUMBERS = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
@@ -78,13 +78,13 @@ class BamReader(DataSourceReader):
     """A task per file: BGZF is a series of gzip members, which are read as one stream."""
 
     def __init__(self, options: dict):
-        self.paths = sorted(p for part in options["path"].split(",") for p in (glob(part) or [part]))
+        self.paths = sorted(p for part in options["path"].split(",") for p in files.expand(part))
 
     def partitions(self) -> list[_File]:
         return [_File(p) for p in self.paths]
 
     def read(self, part: _File) -> Iterator[tuple]:
-        with gzip.open(part.path, "rb") as file:
+        with files.open_binary(part.path, unzip=True) as file:
             number = lambda: struct.unpack("<i", file.read(4))[0]
             if file.read(4) != b"BAM\1":
                 raise ValueError(f"{part.path}: not a BAM file")

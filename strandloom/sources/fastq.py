@@ -8,16 +8,15 @@ lane, by which mates are joined.
 
 from __future__ import annotations
 
-import gzip
-import os
 from collections.abc import Iterator
-from glob import glob
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from strandloom.sources import files
+
 SCHEMA = "lane int, chunk int, row bigint, name string, seq string, comment string, qual string"
 _BATCH = 20_000
 
@@ -49,7 +48,7 @@ def _sync(file, begin: int) -> None:
 
 class FastqReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = [p for part in options["path"].split(",") for p in (sorted(glob(part)) or [part])]
+        self.paths = [p for part in options["path"].split(",") for p in files.expand(part)]
         self.size = int(options.get("chunk_bytes", 64 << 20))
 
     def partitions(self) -> list[Chunk]:
@@ -58,7 +57,7 @@ class FastqReader(DataSourceReader):
             if path.endswith(".gz"):
                 out.append(Chunk(lane, 0, path, 0, None))
                 continue
-            size = os.path.getsize(path)
+            size = files.size(path)
             out += [Chunk(lane, k, path, at, min(at + self.size, size)) for k, at in enumerate(range(0, max(size, 1), self.size))]
         return out
 
@@ -78,7 +77,7 @@ class FastqReader(DataSourceReader):
                 c.clear()
             return out
 
-        with gzip.open(part.path, "rb") if part.path.endswith(".gz") else open(part.path, "rb") as file:
+        with files.open_binary(part.path, part.path.endswith(".gz")) as file:
             if part.end is not None:
                 _sync(file, part.begin)
             while part.end is None or file.tell() < part.end:

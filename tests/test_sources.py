@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import alignments as A
 from strandloom.operators import cluster as C
 from strandloom.plans import pipelines
-from strandloom.sources import alignment, config, fastq, tables
+from strandloom.sources import alignment, config, fastq, files, tables
 
 
 def records(n, mate=1):
@@ -156,6 +156,23 @@ def test_names(spark):
     assert [tuple(v) for v in a.barcodes] == [("BC", "AC"), ("UMI", "G:T")] and a.ids == {"CELL": "1", "COMPLEX": "2_3"} and b.read == "plain" and b.ids == {}
 
 
+def test_barcodes_as_tags(spark, tmp_path):
+    rows = [("r1|||BC:AC|UMI:GG|DPM:T|||CELL_1", 0, "chr1", 4, 60, "5M", "*", -1, 0, "ACGTA", "IIIII")]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos bigint, mapq int, cigar string, rnext string, pnext bigint, tlen bigint, seq string, qual string")
+    alignment.sink_sam(df, str(tmp_path / "s"), A.extra_tags(A.split_name(F.col("qname"))["barcodes"], "2:UMI:UM-DPM:DP"))
+    assert alignment.scan_sam(spark, str(tmp_path / "s")).first().tags == {"UM": "Z:GG", "DP": "Z:T"}
+
+
+def test_files_by_path_and_address(tmp_path):
+    for n in ("b.fq", "a.fq", "c.txt"):
+        (tmp_path / n).write_text(n)
+    assert files.expand(str(tmp_path / "*.fq")) == [str(tmp_path / n) for n in ("a.fq", "b.fq")]
+    assert files.expand(f"file://{tmp_path}/*.fq") == [f"file://{tmp_path}/{n}" for n in ("a.fq", "b.fq")] and files.expand("s3://bucket/x.fq") == ["s3://bucket/x.fq"]
+    assert files.size(f"file://{tmp_path}/a.fq") == 4 and files.open_binary(str(tmp_path / "b.fq")).read() == b"b.fq"
+    with pytest.raises(FileNotFoundError):
+        files.size(str(tmp_path / "none"))
+
+
 def test_pipeline_of_hand_made_reads(spark):
     rows = [(f"q{i}|||BC:A|||COMPLEX_{1 + i // 4}", 0, "chr1", 1000 * i, 60, "50M") for i in range(8)] + [("bad|||BC:A|||COMPLEX_1", 0, "chr1", 5, 3, "50M"), ("no id", 0, "chr1", 5, 60, "50M"), ("m|||BC:A|||COMPLEX_1", 0, "chrM", 5, 60, "50M")]
     out = pipelines.refine(spark.createDataFrame(rows, "qname string, flag int, rname string, pos bigint, mapq int, cigar string"), "chiadrop")
