@@ -50,11 +50,13 @@ def peaks(runs: DataFrame, keys: list[str] | None = None, cutoff: int = 5, min_l
     high = materialise(high, "runs")
     along = Window.partitionBy(*keys).orderBy("_block")
     inside = Window.partitionBy(*keys, "_block").orderBy("start_pos")
-    ends = high.groupBy(*keys, "_block").agg(F.max("end_pos").alias("_last")).withColumn("_before", F.lag("_last").over(along)).drop("_last")
-    gap = F.col("start_pos") - F.coalesce(F.lag("end_pos").over(inside), F.col("_before"))
-    begun = high.join(ends, [*keys, "_block"]).withColumn("_begin", F.when(gap <= max_gap, F.lit(None)).otherwise(F.col("start_pos")))
-    carried = begun.groupBy(*keys, "_block").agg(F.max("_begin").alias("_m")).withColumn("_carry", F.max("_m").over(along.rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
-    placed = begun.withColumn("_at", F.max("_begin").over(inside)).join(carried, [*keys, "_block"]).withColumn("_at", F.coalesce("_at", "_carry"))
+    # where stretches begin inside a block; its first run is told by the block before
+    begun = high.withColumn("_begin", F.when(F.col("start_pos") - F.lag("end_pos").over(inside) > max_gap, F.col("start_pos"))).withColumn("_at", F.max("_begin").over(inside))
+    blocks = begun.groupBy(*keys, "_block").agg(F.min("start_pos").alias("_first"), F.max("end_pos").alias("_end"), F.max("_begin").alias("_last"))
+    apart = F.coalesce(F.col("_first") - F.lag("_end").over(along) > max_gap, F.lit(True))
+    blocks = blocks.withColumn("_opens", F.when(apart, F.col("_first"))).withColumn("_m", F.coalesce("_last", "_opens"))
+    carried = blocks.select(*keys, "_block", F.coalesce("_opens", F.max("_m").over(along.rowsBetween(Window.unboundedPreceding, -1))).alias("_carry"))
+    placed = begun.join(carried, [*keys, "_block"]).withColumn("_at", F.coalesce("_at", "_carry"))
     found = placed.groupBy(*keys, "_at").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.max("depth").alias("summit"))
     return found.filter(F.col("end_pos") - F.col("start_pos") >= min_length).drop("_at")
 
