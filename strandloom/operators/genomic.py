@@ -40,24 +40,26 @@ def peaks(runs: DataFrame, keys: list[str] | None = None, cutoff: int = 5, min_l
     """Stretches of depth >= cutoff, joined over gaps of up to max_gap, at least min_length long.
 
     Columns: keys, chr, start_pos, end_pos, summit (largest depth). Runs are joined inside blocks of
-    positions; from the blocks before, a block takes where the last run ends and where the last
-    stretch begins, so that a chromosome is worked on by many tasks.
+    positions, of which only the joined stretches are written; from the blocks before, a block takes
+    where the last run ends and where the last stretch begins, so that a chromosome is worked on by
+    many tasks.
     """
     from strandloom.storage import materialise
 
     keys = [*(keys or []), "chr"]
     high = runs.filter(F.col("depth") >= cutoff).select(*keys, "start_pos", "end_pos", "depth", F.expr(f"(start_pos - pmod(start_pos, {block}L)) div {block}L").alias("_block"))
-    high = materialise(high, "runs")
     along = Window.partitionBy(*keys).orderBy("_block")
     inside = Window.partitionBy(*keys, "_block").orderBy("start_pos")
-    # where stretches begin inside a block; its first run is told by the block before
+    # where stretches begin inside a block; its first one is told by the block before
     begun = high.withColumn("_begin", F.when(F.col("start_pos") - F.lag("end_pos").over(inside) > max_gap, F.col("start_pos"))).withColumn("_at", F.max("_begin").over(inside))
-    blocks = begun.groupBy(*keys, "_block").agg(F.min("start_pos").alias("_first"), F.max("end_pos").alias("_end"), F.max("_begin").alias("_last"))
+    whole = [F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.max("summit").alias("summit")]
+    parts = materialise(begun.withColumnRenamed("depth", "summit").groupBy(*keys, "_block", "_at").agg(*whole), "stretches")
+    blocks = parts.groupBy(*keys, "_block").agg(F.min("start_pos").alias("_first"), F.max("end_pos").alias("_end"), F.max("_at").alias("_last"))
     apart = F.coalesce(F.col("_first") - F.lag("_end").over(along) > max_gap, F.lit(True))
     blocks = blocks.withColumn("_opens", F.when(apart, F.col("_first"))).withColumn("_m", F.coalesce("_last", "_opens"))
     carried = blocks.select(*keys, "_block", F.coalesce("_opens", F.max("_m").over(along.rowsBetween(Window.unboundedPreceding, -1))).alias("_carry"))
-    placed = begun.join(carried, [*keys, "_block"]).withColumn("_at", F.coalesce("_at", "_carry"))
-    found = placed.groupBy(*keys, "_at").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.max("depth").alias("summit"))
+    placed = parts.join(carried, [*keys, "_block"]).withColumn("_at", F.coalesce("_at", "_carry"))
+    found = placed.groupBy(*keys, "_at").agg(*whole)
     return found.filter(F.col("end_pos") - F.col("start_pos") >= min_length).drop("_at")
 
 

@@ -17,7 +17,7 @@ from strandloom.storage import spread, table
 
 def frags(spark: SparkSession, d: str) -> DataFrame:
     """idx, lib, cell, complex, gid (lib/complex), chr, start_pos, end_pos."""
-    rows = spread(table(spark, d, "cluster_frags").drop("seen_at", "loaded_at")).filter("start_pos is not null and end_pos is not null").select(
+    rows = spread(table(spark, d, "cluster_frags").drop("seen_at", "loaded_at"), "frag_id").filter("start_pos is not null and end_pos is not null").select(
         F.col("frag_id").alias("idx"), "lib", group_number(F.col("cell"), "CELL").alias("cell"), group_number(F.col("complex"), "COMPLEX").alias("complex"), "chr",
         F.least("start_pos", "end_pos").alias("start_pos"), F.greatest("start_pos", "end_pos").alias("end_pos"),
     )
@@ -48,7 +48,7 @@ def reads(spark: SparkSession, d: str) -> DataFrame:
     truth is the barcode of cell l_partkey % 2000; a fifth has one substitution, a few an N. umi has
     4 bases, so that UMIs collide; qual has 16 characters.
     """
-    lines = spread(table(spark, d, "lineitem")).withColumn("rid", F.expr(_RID)).withColumn("id", F.expr("l_partkey % 2000"))
+    lines = spread(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber").withColumn("rid", F.expr(_RID)).withColumn("id", F.expr("l_partkey % 2000"))
     truth = table(spark, d, "cell_idb").filter("names is not null").select("id", F.expr("substr(names, 4)").alias("truth"))
     place = "cast(1 + l_orderkey % 16 as int)"
     wrong = f"case when l_suppkey % 5 = 0 then translate(substr(truth, {place}, 1), 'ACGT', 'CGTA') when l_suppkey % 5 = 1 and l_orderkey % 7 = 0 then 'N' end"
@@ -77,7 +77,7 @@ READS = _reads_sql()
 
 def alignments(spark: SparkSession, d: str) -> DataFrame:
     """qname, flag, rname, pos, mapq, cigar: the line items of an order's part as mates."""
-    lines = spread(table(spark, d, "lineitem"))
+    lines = spread(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
     return lines.selectExpr(
         "concat(cast(l_orderkey as string), '-', cast((l_linenumber - 1) div 2 as string)) as qname",
         "cast(1 + (case when l_linenumber % 2 = 1 then 64 else 128 end) + (case when l_returnflag = 'A' then 256 else 0 end) as bigint) as flag",

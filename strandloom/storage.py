@@ -18,14 +18,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by: str) -> DataFrame:
     """`df` over all cores, where its scan has fewer partitions than there are cores.
 
     A small file with a single row group is read by one task; what follows need not be. Inputs with
-    enough partitions, which is every large one, are left as they are.
+    enough partitions, which is every large one, are left as they are. Rows go by a hash of the
+    columns `by`, else of the whole row: unlike a round robin that needs no sort to be repeatable,
+    and a grouping by keys that contain `by` needs no second shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and t != "variant"]
+    return df.repartition(cores, *(by or ([F.xxhash64(*hashed)] if hashed else [])))
 
 
 def shared_folder(spark: SparkSession) -> str:
