@@ -272,3 +272,30 @@ def report(before: DataFrame, after: DataFrame) -> DataFrame:
     a = before.agg(F.count(F.lit(1)).alias("reads_in"), F.sum(F.length("seq")).alias("bases_in"))
     b = after.agg(F.count(F.lit(1)).alias("reads_out"), F.sum(F.length("seq")).alias("bases_out"))
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def summary(df: DataFrame, adapter: str, cutoff: int = 20, error_rate: float = 0.1, min_overlap: int = 1) -> DataFrame:
+    """One row on quality and then adapter trimming: reads, with_adapter, bases_in, bases_quality (cut for quality), bases_adapter and bases_out.
+
+    One pass over the reads; null sequences count as reads without bases.
+    """
+    by_quality = trim_quality(df.select("seq", "qual", F.length("seq").alias("_all")), cutoff).withColumn("_kept", F.length("seq"))
+    cut = trim_adapter(by_quality, adapter, error_rate, min_overlap).select("_all", "_kept", F.length("seq").alias("_left"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return cut.agg(
+        F.count(F.lit(1)).alias("reads"), F.count_if(F.col("_left") < F.col("_kept")).alias("with_adapter"), total(F.col("_all")).alias("bases_in"),
+        total(F.col("_all") - F.col("_kept")).alias("bases_quality"), total(F.col("_kept") - F.col("_left")).alias("bases_adapter"), total(F.col("_left")).alias("bases_out"),
+    )
+
+
+def adapter_lengths(df: DataFrame, adapter: str, error_rate: float = 0.1, min_overlap: int = 1) -> DataFrame:
+    """How often how many bases are cut from the adapter on: length, reads, expected and max_errors.
+
+    expected is the number of reads that would end in as many bases of the adapter by chance;
+    max_errors the substitutions allowed in them. Reads that keep all their bases have no row.
+    """
+    cut = F.length("seq") - (adapter_start(F.col("seq"), adapter, error_rate, min_overlap) - 1)
+    counts = df.select(cut.cast("bigint").alias("length")).groupBy("length").agg(F.count(F.lit(1)).alias("reads"))
+    matched = F.least("length", F.lit(len(adapter)))
+    total = counts.agg(F.sum("reads").alias("_n"))
+    return counts.filter("length > 0").join(F.broadcast(total)).select("length", "reads", (F.col("_n") * F.pow(F.lit(0.25), matched)).alias("expected"), F.floor(matched * error_rate).alias("max_errors"))

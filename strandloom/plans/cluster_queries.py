@@ -12,6 +12,7 @@ GROUP = ["gid"]
 #: Reach of the pair queries, in bases.
 REACH = 100_000
 #: Resolutions of the contact maps, in bases.
+COARSE = [2_500_000, 1_000_000, 100_000]
 RESOLUTIONS = [2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000, 1_000]
 PEAK = {"cutoff": 2, "min_length": 60, "max_gap": 30}
 
@@ -77,7 +78,13 @@ def juice_pairs(s, d):
 
 
 def contact_bins(s, d):
-    return G.contact_bins(juice_pairs(s, d), [2_500_000, 1_000_000, 100_000])
+    """Contacts of all pairs of a complex on a chromosome, in the maps that show them as a whole."""
+    return G.group_contacts(frags(s, d), GROUP, COARSE)
+
+
+def contact_bins_near(s, d):
+    """Contacts of the listed pairs, which lie within REACH of each other."""
+    return G.contact_bins(juice_pairs(s, d), COARSE)
 
 
 def contact_bins_all(s, d):
@@ -122,7 +129,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cluster_group_count, cluster_inline_bed, cluster_hierarchy, cluster_dedup_start, cluster_dedup_start_end, cluster_dup_stats, cluster_split_chr, cluster_merge, cluster_merge_minlen, cluster_merge_extra,
-        cluster_explode_bed, frag_length, frag_next_distance, frag_pairs_within, juice_pairs, contact_bins, contact_bins_all, complex_span, fragcount_hist, mixed_union, mask_antigrep, cov_runs, cov_peaks, overlap_inner, overlap_anti,
+        cluster_explode_bed, frag_length, frag_next_distance, frag_pairs_within, juice_pairs, contact_bins, contact_bins_near, contact_bins_all, complex_span, fragcount_hist, mixed_union, mask_antigrep, cov_runs, cov_peaks, overlap_inner, overlap_anti,
     )
 }
 
@@ -153,6 +160,12 @@ PEAKS = (
 )
 _OVER = " join blacklist b on b.chr = f.chr and f.start_pos < b.end_pos and b.start_pos < f.end_pos and f.start_pos < f.end_pos"
 
+
+def _contacts_sql(resolutions):
+    values = ", ".join(f"({r})" for r in resolutions)
+    return ALL_PAIRS_SQL + f"select resolution, trim(chr, 'chr') chr_1, s1 // (2 * resolution) bin_1, trim(chr, 'chr') chr_2, s2 // (2 * resolution) bin_2, count(*) n from pa, (values {values}) r(resolution) group by all"
+
+
 SQL = {
     "cluster_group_count": _F + "select gid, count(*) n from frags group by gid",
     "cluster_inline_bed": with_views(FRAGS, "nu as (select *, (row_number() over (partition by gid order by idx, frags.chr, start_pos, end_pos) - 1) // 1000000 part from frags)") + "select gid, part, gid || chr(9) || count(*) || chr(9) || string_agg(f.chr || chr(9) || start_pos || chr(9) || end_pos, chr(9) order by idx, f.chr, start_pos, end_pos) line from nu f group by gid, part",
@@ -169,8 +182,9 @@ SQL = {
     "frag_next_distance": with_views(FRAGS, "w as (select gid, row_number() over (partition by gid order by idx) - 1 i, chr, lead(chr) over (partition by gid order by idx) next_chr, lead(start_pos) over (partition by gid order by idx) - end_pos dist from frags)") + "select * from w where next_chr is not null",
     "frag_pairs_within": PAIRS_SQL + "select * from pr",
     "juice_pairs": PAIRS_SQL + _JUICE,
-    "contact_bins": PAIRS_SQL + ", j as (" + _JUICE + ") select resolution, chr_1, mid_1 // resolution bin_1, chr_2, mid_2 // resolution bin_2, count(*) n from j, (values (2500000), (1000000), (100000)) r(resolution) group by all",
-    "contact_bins_all": ALL_PAIRS_SQL + "select resolution, trim(chr, 'chr') chr_1, s1 // (2 * resolution) bin_1, trim(chr, 'chr') chr_2, s2 // (2 * resolution) bin_2, count(*) n from pa, (values " + ", ".join(f"({r})" for r in RESOLUTIONS) + ") r(resolution) group by all",
+    "contact_bins_near": PAIRS_SQL + ", j as (" + _JUICE + ") select resolution, chr_1, mid_1 // resolution bin_1, chr_2, mid_2 // resolution bin_2, count(*) n from j, (values (2500000), (1000000), (100000)) r(resolution) group by all",
+    "contact_bins": _contacts_sql(COARSE),
+    "contact_bins_all": _contacts_sql(RESOLUTIONS),
     "complex_span": _F + "select gid, chr, max(end_pos) - min(start_pos) span, count(*) n from frags group by all",
     "fragcount_hist": with_views(FRAGS, "g as (select least(count(*), 16) k from frags group by gid)") + "select case when r.k > 15 then 'F > 15' else 'F = ' || r.k end \"class\", count(g.k) groups from range(1, 17) r(k) left join g on g.k = r.k group by r.k",
     "mixed_union": _F + "select case when start_pos % 2 = 0 then 'DNA' else 'RNA' end \"type\", chr, count(*) n from frags group by all",

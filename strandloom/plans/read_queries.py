@@ -118,6 +118,15 @@ def prefix_removal(s, d):
     return T.remove_prefixes(f.select("rid", "seq", "qual"), adapters).groupBy(F.length("seq").cast("bigint").alias("length")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def trim_summary(s, d):
+    return T.summary(fastq(s, d), T.ADAPTERS["Illumina"])
+
+
+def trim_adapter_lengths(s, d):
+    found = T.adapter_lengths(fastq(s, d), T.ADAPTERS["Illumina"])
+    return found.select("length", "reads", F.round("expected", 6).alias("expected"), "max_errors")
+
+
 def trim_report(s, d):
     f = fastq(s, d)
     return T.report(f, T.long_enough(T.trim_adapter(T.trim_quality(f), T.ADAPTERS["Illumina"]), 20))
@@ -197,7 +206,7 @@ def qc_tile(s, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        trim_quality, trim_two_colour, trim_adapter_detect, trim_adapter, trim_clip, trim_length, trim_hard5, trim_hard3, trim_pair_validate, umi_transfer, clock_trim, rrbs_trim, polya_detect, polya_trim, polyt_trim, trim_pair_n, reverse_complement, prefix_removal, trim_report,
+        trim_quality, trim_two_colour, trim_adapter_detect, trim_adapter, trim_clip, trim_length, trim_hard5, trim_hard3, trim_pair_validate, umi_transfer, clock_trim, rrbs_trim, polya_detect, polya_trim, polyt_trim, trim_pair_n, reverse_complement, prefix_removal, trim_report, trim_summary, trim_adapter_lengths,
         qc_basic, qc_base_quality, qc_sequence_quality, qc_composition, qc_gc, qc_n, qc_lengths, qc_duplication, qc_remaining, qc_overrepresented, qc_contaminants, qc_adapter, qc_grades, qc_kmer, qc_tile,
     )
 }
@@ -253,6 +262,10 @@ SQL = {
     "trim_pair_n": with_views(READS) + "select case when seq like '%N%' then 'dropped' else 'pair' end state, count(*) n from reads group by 1",
     "reverse_complement": _FQ + f"select rid, {_RC} seq from fq",
     "prefix_removal": with_views(READS, FASTQ, "ad as (select substr(seq, 1, 4 + kind) a from fq group by 1 having count(*) * 1000 >= (select count(*) from fq))", "t as (select 64 - case when substr(seq, 1, 6) in (select a from ad) then 6 when substr(seq, 1, 5) in (select a from ad) then 5 when substr(seq, 1, 4) in (select a from ad) then 4 else 0 end l from fq)") + "select l length, count(*) n from t group by l",
+    "trim_summary": with_views(READS, FASTQ, _cut_sql("fq", 20, "c"), "t as (select rid, length(seq) was, substr(seq, 1, keep) seq from c)", _adapter_sql("t", "a", "AGATCGGAAGAGC"))
+    + "select count(*) reads, count_if(cut < length(seq)) with_adapter, cast(sum(was) as bigint) bases_in, cast(sum(was - length(seq)) as bigint) bases_quality, cast(sum(length(seq) - cut) as bigint) bases_adapter, cast(sum(cut) as bigint) bases_out from a",
+    "trim_adapter_lengths": with_views(READS, FASTQ, _adapter_sql("fq", "a", "AGATCGGAAGAGC"), "l as (select cast(length(seq) - cut as bigint) length, count(*) reads from a group by 1)")
+    + "select length, reads, round((select count(*) from fq) * pow(0.25, least(length, 13)), 6) expected, cast(floor(least(length, 13) * 0.1) as bigint) max_errors from l where length > 0",
     "trim_report": with_views(READS, FASTQ, _cut_sql("fq", 20, "c"), "t as (select rid, substr(seq, 1, keep) seq from c)", _adapter_sql("t", "a", "AGATCGGAAGAGC")) + "select (select count(*) from fq) reads_in, (select cast(sum(length(seq)) as bigint) from fq) bases_in, count(*) reads_out, cast(sum(cut) as bigint) bases_out from a where cut >= 20",
     "qc_basic": _FQ + "select count(*) reads, min(length(seq)) shortest, max(length(seq)) longest, cast(floor(sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) * 100 / sum(length(regexp_replace(seq, '[^ACGT]', '', 'g')))) as bigint) gc from fq",
     "qc_base_quality": with_views(READS, FASTQ, _POS.format("fq"), "w as (select pos, q, row_number() over (partition by pos order by q) r, count(*) over (partition by pos) n from bs)", "o as (select pos, avg(q) mean, " + ", ".join(f"min(case when r * 100 >= n * {p} then q end) p{p}" for p in (10, 25, 50, 75, 90)) + " from w group by pos)")

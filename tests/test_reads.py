@@ -1,6 +1,7 @@
 """Trimming and read QC against plain Python and golden cases."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,25 @@ def test_adapter_trim_equals_loop(spark):
         assert got == {f"r{i}": s[: start(s, a, overlap)] for i, s in enumerate(seqs)}
 
 
+def test_trim_summary_and_lengths_equal_loop(spark):
+    rnd = random.Random(12)
+    a = T.ADAPTERS["Illumina"]
+    rows = [(None, None), ("", "")]
+    for _ in range(150):
+        s = "".join(rnd.choices("ACGT", k=rnd.randint(0, 25))) + a[: rnd.randint(0, len(a))]
+        rows.append((s, "".join(chr(33 + rnd.randint(10, 40)) for _ in s)))
+    kept = [s[: cut(q, 20)] for s, q in rows if s is not None]
+    left = [s[: start(s, a, 1)] for s in kept]
+    size = lambda texts: sum(map(len, texts))
+    want = (len(rows), sum(x != y for x, y in zip(kept, left)), size(s for s, _ in rows if s), size(s for s, _ in rows if s) - size(kept), size(kept) - size(left), size(left))
+    df = fq(spark, rows).withColumn("_note", F.lit(1))
+    assert tuple(T.summary(df, a).first()) == want
+    gone = Counter(len(s) - start(s, a, 1) for s, _ in rows if s is not None)
+    got = {r.length: (r.reads, r.expected, r.max_errors) for r in T.adapter_lengths(df, a).collect()}
+    assert got == {n: (k, len(rows) * 0.25 ** min(n, len(a)), min(n, len(a)) // 10) for n, k in gone.items() if n > 0}
+    assert tuple(T.summary(df.limit(0), a).first()) == (0,) * 6 and T.adapter_lengths(df.limit(0), a).collect() == []
+
+
 def test_long_reads_go_in_steps(spark, monkeypatch):
     monkeypatch.setattr(T, "_CELLS", 1000)
     work = T._quality_cut(20)
