@@ -69,7 +69,10 @@ def density(df: DataFrame, value: str, by: str | None = None, points: int = 512,
     smeared = weights.withColumn("_to", F.explode(touched))
     off = (F.col("_to") - F.col("_at")) * F.col("_step") / F.col("_bw")
     height = F.col("_w") * F.exp(-off * off / 2) / (F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi))
-    out = smeared.groupBy("_by", "_to").agg(F.any_value(F.col("_lo") + F.col("_to") * F.col("_step")).alias("x"), F.sum(height).alias("density"))
+    heights = smeared.groupBy("_by", "_to").agg(F.sum(height).alias("density"))
+    # places out of reach of every value have density 0
+    places = scale.select("_by", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_to"), (F.col("_lo") + F.col("_to") * F.col("_step")).alias("x"))
+    out = places.join(heights, ["_by", "_to"], "left").withColumn("density", F.coalesce("density", F.lit(0.0)))
     return out.select(*([F.col("_by").alias(by)] if by else []), "x", "density")
 
 

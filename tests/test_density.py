@@ -43,3 +43,9 @@ def test_loop_spans(spark):
     got = {(r.chr, r.bin_1, r.bin_2): (r.pets, r.span, r.log_span) for r in loop_spans(df, anchor=50).collect()}
     assert got == {("chr1", 0, 2): (2, 99, math.log10(99)), ("chr1", 0, 0): (1, 5, math.log10(5)), ("chr2", 0, 0): (1, 0, None)}
     assert loop_spans(df.limit(0)).count() == 0
+
+
+def test_places_out_of_reach_have_density_zero(spark):
+    df = spark.createDataFrame([(0.0,), (100.0,)], "v double")
+    rows = density(df, "v", points=51, bandwidth=1.0).orderBy("x").collect()
+    assert len(rows) == 51 and rows[25].density == 0.0
