@@ -42,17 +42,19 @@ def neighbours(seq: Column, letters: str = LETTERS) -> Column:
     return F.filter(F.flatten(F.transform(places, at)), lambda v: v["variant"] != seq)
 
 
-def expand(whitelist: DataFrame, mismatches: int = 1, letters: str = LETTERS) -> DataFrame:
+def expand(whitelist: DataFrame, mismatches: int = 1, letters: str = LETTERS, among: DataFrame | None = None) -> DataFrame:
     """variant, ord, dist: every sequence within `mismatches` substitutions of a barcode.
 
     Where barcodes compete for a variant the smaller distance wins, then the smaller ordinal;
-    `conflicts` counts the others.
+    `conflicts` counts the others. among: the variants (distinct) that are wanted, all by default.
     """
     found = whitelist.select("ord", F.col("seq").alias("variant"), F.lit(0).alias("dist"))
     frontier = found
     for k in range(1, mismatches + 1):
         frontier = frontier.select("ord", F.explode(neighbours(F.col("variant"), letters)).alias("v")).select("ord", F.col("v.variant").alias("variant"), F.lit(k).alias("dist"))
         found = found.unionByName(frontier)
+    if among is not None:
+        found = found.join(maybe_broadcast(among), "variant", "left_semi")
     per_barcode = found.groupBy("variant", "ord").agg(F.min("dist").alias("dist"))
     return per_barcode.groupBy("variant").agg(F.min(F.struct("dist", "ord")).alias("b"), (F.count(F.lit(1)) - 1).alias("conflicts")).select("variant", "b.ord", "b.dist", "conflicts")
 

@@ -5,13 +5,17 @@ the configuration is read from left to right; at each hole the alternatives are
 at its own shifts and lengths, and the first hit counts. A hit is found by equality joins only, with
 the whitelist expanded (sparse types) or the missed read expanded (dense types).
 
-A read goes through all holes as one row that carries what was found so far: at a hole it becomes a
-row per try, which are put together again by the key. So the reads are shuffled once, by their key,
-whatever the number of holes; only dense types write them between the holes.
+A read goes through all holes as one row that carries what was found so far. Sparse types are looked
+up in that row by broadcast joins, so that reads are neither shuffled nor written: of a whitelist that
+is large when expanded only what the reads have at the hole is kept, for which they are read once
+more. Where that is still too large, at a hole with more than MOST_TRIES tries, and for dense types a
+read becomes a row per try, which are put together again by the key; only dense types write the reads
+between the holes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +24,10 @@ from pyspark.sql import functions as F
 from strandloom.operators import barcode as B
 from strandloom.operators.skew import skew_join
 from strandloom.sources.config import Config, Identifier
-from strandloom.storage import materialise, maybe_broadcast
+from strandloom.storage import BROADCAST_ROWS, materialise, maybe_broadcast
 
+#: Tries of a hole up to which each is a broadcast join of its own.
+MOST_TRIES = 32
 #: Modes of correction by the names of the command line. Without a dense type none is needed.
 MODES = {"default": "atact", "-": "atact", "atact": "atact", "rnat": "rnat", "fcfg": "fcfg", "minq": "minq"}
 NOT_FOUND = "NOT_FOUND"
@@ -43,11 +49,11 @@ def whitelists(reads: DataFrame, config: Config, given: dict[str, DataFrame] | N
     return out
 
 
-def _sparse(config: Config, white: dict[str, DataFrame], exact: bool = False) -> Find:
-    """Adds _code and _text by equality with the whitelists, expanded by the mismatches of their types unless `exact`."""
+def _equal(config: Config, white: dict[str, DataFrame]) -> Find:
+    """Adds _code and _text by equality with the whitelists."""
     table = None
     for kind, words in white.items():
-        near = B.expand(words.select("ord", "seq"), 0 if exact else config.types[kind].mismatch).select("ord", F.col("variant").alias("_sub"))
+        near = B.expand(words.select("ord", "seq"), 0).select("ord", F.col("variant").alias("_sub"))
         own = near.join(words.select("ord", "name"), "ord").select(F.lit(kind).alias("_type"), "_sub", F.col("ord").cast("string").alias("_code"), F.col("name").alias("_text"))
         table = own if table is None else table.unionByName(own)
     sized = None if table is None else maybe_broadcast(materialise(table, "words"))
@@ -55,9 +61,50 @@ def _sparse(config: Config, white: dict[str, DataFrame], exact: bool = False) ->
     return lambda tried, key: tried.withColumns({"_code": nothing, "_text": nothing}) if sized is None else tried.join(sized, ["_type", "_sub"], "left")
 
 
+class _Lookup:
+    """Whitelists expanded by the mismatches of their types (not if `exact`), as tables _sub, _code, _text with a row for each _sub."""
+
+    def __init__(self, config: Config, white: dict[str, DataFrame], exact: bool = False):
+        self.white, self.mismatch = white, {kind: 0 if exact else config.types[kind].mismatch for kind in white}
+        self.whole: dict[str, DataFrame | None] = {}
+        self.held: dict[tuple, dict[str, DataFrame]] = {}
+        self.by_rows = False
+
+    def _table(self, kind: str, among: DataFrame | None = None) -> DataFrame:
+        words = self.white[kind]
+        names = words.groupBy("ord").agg(F.min("name").alias("_text"))
+        near = B.expand(words.select("ord", "seq"), self.mismatch[kind], among=among).select("ord", F.col("variant").alias("_sub"))
+        return maybe_broadcast(materialise(near.join(names, "ord").select("_sub", F.col("ord").cast("string").alias("_code"), "_text"), "words"))
+
+    def _small(self, kind: str) -> DataFrame | None:
+        """The whole table if it has at most BROADCAST_ROWS rows."""
+        if kind not in self.whole:
+            rows, longest = self.white[kind].select("seq").limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("seq")), F.lit(0))).first()
+            variants = sum(math.comb(longest, k) * len(B.LETTERS) ** k for k in range(self.mismatch[kind] + 1))
+            self.whole[kind] = self._table(kind) if rows * variants <= BROADCAST_ROWS else None
+        return self.whole[kind]
+
+    def tables(self, place: tuple, tried: dict[str, list[Column]], state: DataFrame) -> dict[str, DataFrame]:
+        """kind -> table of the kinds that are `tried`; of large ones what `state` has there. Chains that agree up to `place` share them."""
+        if place not in self.held:
+            large = [kind for kind in tried if self._small(kind) is None]
+            seen = {}
+            if large:
+                subs = F.array(*[F.struct(F.lit(kind).alias("type"), sub.alias("variant")) for kind in large for sub in tried[kind]])
+                rows = materialise(state.select(F.explode(subs).alias("s")).select("s.type", "s.variant").filter("variant is not null").distinct(), "seen")
+                seen = {kind: self._table(kind, rows.filter(F.col("type") == kind).select("variant")) for kind in large}
+            self.held[place] = {kind: seen.get(kind, self.whole[kind]) for kind in tried}
+        return self.held[place]
+
+
+def _broadcast(df: DataFrame) -> bool:
+    """Whether `df` has a broadcast hint."""
+    return df._jdf.queryExecution().logical().getClass().getSimpleName() in ("ResolvedHint", "UnresolvedHint")
+
+
 def _dense(config: Config, white: dict[str, DataFrame], mode: str, priors: DataFrame | None) -> Find:
-    """As _sparse with exact hits, and a row more for each try before a read's first exact hit that `mode` corrects."""
-    equal = _sparse(config, white, exact=True)
+    """As _equal, and a row more for each try before a read's first exact hit that `mode` corrects."""
+    equal = _equal(config, white)
 
     def find(tried: DataFrame, key: str) -> DataFrame:
         exact = equal(tried, key)
@@ -76,33 +123,66 @@ def _dense(config: Config, white: dict[str, DataFrame], mode: str, priors: DataF
     return find
 
 
-def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, find: Find) -> DataFrame:
+def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, find: Find | _Lookup, place: tuple) -> DataFrame:
     """`state` with the hole's barcode added to _codes and the cursor moved to its end.
 
-    Without a hit the code is null and the cursor moves by space and longest length of the last alternative.
+    Without a hit the code is null and the cursor moves by space and longest length of the last
+    alternative. place: mate, start and holes of the chain up to this one.
     """
     tries = [(kind, config.types[kind].space + shift, size) for kind in names for shift in range(config.types[kind].laxity + 1) for size in range(config.types[kind].length[0], config.types[kind].length[1] + 1)]
     if not tries:
         raise ValueError(f"no length is known for {names}")
     part = lambda c, skip, size: F.substr(c, F.col("_pos") + skip, F.lit(size))
+    plain = {kind: config.types[kind] for kind in names if config.types[kind].verbatim or config.types[kind].random}
+    rank = F.col("_hit._rank")
+
+    def at(values: list) -> Column:
+        return F.when(rank.isNotNull(), F.lit(values[0])) if len(set(values)) == 1 else F.get(F.array(*[F.lit(v) for v in values]), rank)
+
+    last = config.types[names[-1]]
+    ends, none = [skip + size for _, skip, size in tries], last.space + last.length[1]
+    move = F.lit(none) if {*ends} == {none} else F.coalesce(at(ends), F.lit(none))
+    code = F.struct(at([kind for kind, _, _ in tries]).alias("type"), F.col("_hit._code").alias("code"), F.col("_hit._text").alias("text"))
+    moved = [*[c for c in state.columns if c not in ("_pos", "_codes")], (F.col("_pos") + move).alias("_pos"), F.array_append("_codes", code).alias("_codes")]
+
+    if isinstance(find, _Lookup):
+        whole = [F.when(F.length(part("_seq", skip, size)) == size, F.upper(part("_seq", skip, size))) for _, skip, size in tries]
+        sought = {kind: [sub for sub, (k, _, _) in zip(whole, tries) if k == kind] for kind in names if kind in find.white and kind not in plain}
+        tables = find.tables(place, sought, state)
+        if sum(map(len, sought.values())) <= MOST_TRIES and all(map(_broadcast, tables.values())):
+            hits, found = [], state
+            for i, (sub, (kind, _, _)) in enumerate(zip(whole, tries)):
+                if kind in plain:
+                    own = F.when(sub.rlike("^[ACGT]+$") if plain[kind].random else sub.isNotNull(), F.struct(F.lit(i).alias("_rank"), (sub if plain[kind].random else F.lit("*")).alias("_code"), F.concat(F.lit(f"{kind}:"), sub).alias("_text")))
+                elif kind in tables:
+                    found = found.withColumn("_sub", sub).join(tables[kind], "_sub", "left").withColumnsRenamed({"_code": f"_code_{i}", "_text": f"_text_{i}"}).drop("_sub")
+                    own = F.when(F.col(f"_code_{i}").isNotNull(), F.struct(F.lit(i).alias("_rank"), F.col(f"_code_{i}").alias("_code"), F.col(f"_text_{i}").alias("_text")))
+                else:
+                    continue
+                hits.append(own)
+            hit = F.coalesce(*hits) if hits else F.lit(None).cast("struct<_rank:int,_code:string,_text:string>")
+            return found.select(*state.columns, hit.alias("_hit")).select(*moved)
+        find.by_rows = True
+
     array = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(kind).alias("type"), F.upper(part("_seq", skip, size)).alias("sub"), part("_qual", skip, size).alias("qual"), F.lit(size).alias("size")) for i, (kind, skip, size) in enumerate(tries)])
     whole = F.filter(array, lambda t: F.length(t["sub"]) == t["size"])
     if getattr(find, "several", False):
         state = materialise(state, "state")
     tried = state.select("*", F.explode_outer(whole).alias("t")).select(*state.columns, F.col("t.rank").alias("_rank"), F.col("t.type").alias("_type"), F.col("t.sub").alias("_sub"), F.col("t.qual").alias("_phred"))
-    found = find(tried, key)
-    plain = {kind: config.types[kind] for kind in names if config.types[kind].verbatim or config.types[kind].random}
+    if isinstance(find, _Lookup):
+        found, parts = None, [t.select(F.lit(kind).alias("_type"), "_sub", "_code", "_text") for kind, t in tables.items()]
+        for t in parts:
+            found = t if found is None else found.unionByName(t)
+        found = tried.join(found, ["_type", "_sub"], "left")
+    else:
+        found = find(tried, key)
     for kind, t in plain.items():
         own = (F.col("_type") == kind) & (F.col("_sub").rlike("^[ACGT]+$") if t.random else F.lit(True))
         code = F.col("_sub") if t.random else F.lit("*")
         found = found.withColumns({"_code": F.when(own, code).otherwise(F.col("_code")), "_text": F.when(own, F.concat("_type", F.lit(":"), "_sub")).otherwise(F.col("_text"))})
     hit = F.min(F.when(F.col("_code").isNotNull(), F.struct("_rank", "_code", "_text"))).alias("_hit")
     first = found.groupBy(key).agg(hit, *[F.any_value(c, True).alias(c) for c in state.columns if c != key])
-    at = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("_hit._rank"))
-    last = config.types[names[-1]]
-    move = F.coalesce(at([skip + size for _, skip, size in tries]), F.lit(last.space + last.length[1]))
-    code = F.struct(at([kind for kind, _, _ in tries]).alias("type"), F.col("_hit._code").alias("code"), F.col("_hit._text").alias("text"))
-    return first.select(*[c for c in state.columns if c not in ("_pos", "_codes")], (F.col("_pos") + move).alias("_pos"), F.array_append("_codes", code).alias("_codes"))
+    return first.select(*moved)
 
 
 def _payload(state: DataFrame, length: int) -> DataFrame:
@@ -112,18 +192,18 @@ def _payload(state: DataFrame, length: int) -> DataFrame:
     return state.withColumn("_payload", found).withColumn("_pos", F.col("_pos") + length if length else F.coalesce(F.length("_seq"), F.lit(0)) + 1)
 
 
-def _scan(reads: DataFrame, key: str, config: Config, find: Find) -> DataFrame:
+def _scan(reads: DataFrame, key: str, config: Config, find: Find | _Lookup) -> DataFrame:
     """key, codes, genome, full, payload_1..4: the first kind of genome whose chains are found whole, else the last, with the common chains."""
     state = reads
     for c, chain in enumerate(config.chains):
         mate = f"r{chain.mate}"
         state = state.withColumns({"_seq": F.col(f"{mate}.seq"), "_qual": F.col(f"{mate}.qual"), "_pos": F.lit(chain.position), "_codes": F.array().cast(_CODES), "_payload": F.lit(None).cast("struct<seq:string,qual:string>")})
-        for names in chain.holes:
+        for h, names in enumerate(chain.holes):
             if names[0].upper().startswith("GENOME"):
                 known = config.types.get(names[0])
                 state = _payload(state, known.length[0] if known else 0)
             else:
-                state = _hole(state, key, names, config, find)
+                state = _hole(state, key, names, config, find, (chain.mate, chain.position, tuple(map(tuple, chain.holes[: h + 1]))))
         state = state.withColumns({f"_c{c}": F.col("_codes"), f"_p{c}": F.col("_payload")}).drop("_seq", "_qual", "_pos", "_codes", "_payload")
     kinds = list(dict.fromkeys(ch.genome for ch in config.chains if ch.genome))
     whole = lambda codes: F.forall(codes, lambda x: x["code"].isNotNull())
@@ -169,7 +249,7 @@ def _fits(identifier: Identifier) -> tuple[Column, Column]:
     return first.isNotNull(), F.when(first.isNotNull(), key)
 
 
-def identify(reads: DataFrame, key: str, config: Config, mode: str = "default", given: dict[str, DataFrame] | None = None, partial: bool = False) -> DataFrame:
+def identify(reads: DataFrame, key: str, config: Config, mode: str = "default", given: dict[str, DataFrame] | None = None, partial: bool = False, numbered: bool = True) -> DataFrame:
     """Barcodes, payloads, identifiers and route of each read.
 
     Columns: `key`; `codes` (type, code, text of each hole; null where not found); `full`; `genome`
@@ -180,17 +260,20 @@ def identify(reads: DataFrame, key: str, config: Config, mode: str = "default",
 
     mode: see MODES. atact goes in two rounds: exact hits first, whose counts weigh the candidates
     of the reads that are not full. Without a dense type mismatches are those of the expanded
-    whitelists. given: whitelists (ord, seq, perhaps name) by type that stand elsewhere. Null or
-    short mates find nothing; keys must be unique; an empty table gives no rows.
+    whitelists. given: whitelists (ord, seq, perhaps name) by type that stand elsewhere. Without
+    `numbered` the identifiers are left out, in the label too, which saves a pass over the reads. Null
+    or short mates find nothing; keys must be unique; an empty table gives no rows.
     """
     mode = MODES[mode]
     mates = [f"r{m}" for m in sorted({ch.mate for ch in config.chains})]
     reads = reads.select(key, *mates)
     white = whitelists(reads, config, given)
+    sparse = None
     if not any(t.dense for t in config.types.values()):
-        done = _scan(reads, key, config, _sparse(config, white))
+        sparse = _Lookup(config, white)
+        done = _scan(reads, key, config, sparse)
     elif mode == "atact":
-        first = materialise(_scan(reads, key, config, _sparse(config, white, exact=True)), "exact")
+        first = materialise(_scan(reads, key, config, _Lookup(config, white, exact=True)), "exact")
         hits = first.select(F.explode("codes").alias("c")).filter(F.col("c.code").isNotNull() & F.col("c.type").isin(list(white)))
         priors = materialise(hits.groupBy(F.col("c.type").alias("type"), F.col("c.code").cast("bigint").alias("ord")).agg(F.count(F.lit(1)).alias("prior")), "priors")
         rest = materialise(reads.join(first.filter(~F.col("full")).select(key), key, "left_semi"), "rest")
@@ -201,12 +284,20 @@ def identify(reads: DataFrame, key: str, config: Config, mode: str = "default",
     for one in config.identifiers:
         if one.name in ("DNA", "RNA"):
             kind = F.when(_fits(one)[0], one.name).otherwise(kind)
-    others = [one for one in config.identifiers if one.name not in ("DNA", "RNA")]
+    others = [one for one in config.identifiers if numbered and one.name not in ("DNA", "RNA")]
     counted = F.col("full") | F.lit(partial)
-    keyed = materialise(done.select("*", kind.alias("type"), *[F.when(counted, _fits(one)[1]).alias(f"_key_{j}") for j, one in enumerate(others)]), "identified")
+    keyed = done.select("*", kind.alias("type"), *[F.when(counted, _fits(one)[1]).alias(f"_key_{j}") for j, one in enumerate(others)])
+    if sparse is None or sparse.by_rows:
+        keyed = materialise(keyed, "identified")
+    tables = {}
     for j, one in enumerate(others):
-        ids = materialise(B.assign_ids(keyed.select(f"_key_{j}"), f"_key_{j}").select(f"_key_{j}", F.col("id").alias(one.name)), "ids")
-        keyed = skew_join(keyed, ids, f"_key_{j}", "left")
+        # the reads are gone through once more for their distinct keys; writing them takes many times their size
+        keys = materialise(keyed.select(f"_key_{j}").filter(F.col(f"_key_{j}").isNotNull()).distinct(), "keys")
+        tables[f"_key_{j}"] = maybe_broadcast(materialise(B.assign_ids(keys, f"_key_{j}").select(f"_key_{j}", F.col("id").alias(one.name)), "ids"))
+    if not all(map(_broadcast, tables.values())) and sparse is not None and not sparse.by_rows:
+        keyed = materialise(keyed, "identified")
+    for column, ids in tables.items():
+        keyed = keyed.join(ids, column, "left") if _broadcast(ids) else skew_join(keyed, ids, column, "left")
     texts = F.array_join(F.transform("codes", lambda x: F.coalesce(x["text"], F.lit(NOT_FOUND))), "|")
     names = [F.coalesce(F.concat(F.lit(f"{one.name}_"), F.col(one.name).cast("string")), F.lit(NOT_FOUND)) for one in others]
     label = F.concat_ws("|||", texts, F.concat_ws("|", *names)) if names else texts

@@ -10,7 +10,6 @@ from strandloom.operators import barcode as B
 from strandloom.operators.identify import identify
 from strandloom.plans.views import READS, WHITELIST, reads, whitelist, with_views
 from strandloom.sources import config
-from strandloom.storage import materialise
 
 #: Letters of the simulated linker that stands before the barcode in the scanned reads.
 LINKER = "AC"
@@ -132,22 +131,22 @@ CONFIG = config.parse(
 )
 
 
-def _identified(s, d, partial=False):
+def _identified(s, d, partial=False, numbered=True):
     """Reads of barcode, UMI, tag and body, identified by CONFIG."""
     r = reads(s, d).select("rid", F.concat("seq", "umi", F.expr("case when kind = 0 then 'GGT' when kind = 1 then 'CCAT' else 'TTTT' end"), "body").alias("s1"), F.col("body").alias("s2"), F.col("body_qual").alias("q2"))
     mates = r.select("rid", F.struct(F.col("s1").alias("seq"), F.repeat(F.lit("I"), F.length("s1")).alias("qual")).alias("r1"), F.struct(F.col("s2").alias("seq"), F.col("q2").alias("qual")).alias("r2"))
-    return identify(materialise(mates, "mates"), "rid", CONFIG, given={"BC": whitelist(s, d)}, partial=partial)
+    return identify(mates, "rid", CONFIG, given={"BC": whitelist(s, d)}, partial=partial, numbered=numbered)
 
 
 def barcode_capture(s, d):
     """Corrected barcode, UMI as it stands, and the payloads of both mates."""
     at = lambda i, f: F.get("codes", F.lit(i))[f]
-    return _identified(s, d).select("rid", at(0, "code").cast("bigint").alias("bc"), at(1, "text").alias("umi"), F.col("payload_1.seq").alias("payload_1"), F.col("payload_2.seq").alias("payload_2"), F.col("payload_2.qual").alias("qual_2"))
+    return _identified(s, d, numbered=False).select("rid", at(0, "code").cast("bigint").alias("bc"), at(1, "text").alias("umi"), F.col("payload_1.seq").alias("payload_1"), F.col("payload_2.seq").alias("payload_2"), F.col("payload_2.qual").alias("qual_2"))
 
 
 def barcode_genome_fallback(s, d):
     """The kind of genome whose chain is found: DNA where it is whole, else RNA."""
-    return _identified(s, d).select("rid", "genome", F.get("codes", F.lit(2))["text"].alias("tag"), "full")
+    return _identified(s, d, numbered=False).select("rid", "genome", F.get("codes", F.lit(2))["text"].alias("tag"), "full")
 
 
 def identifier_route(s, d):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions.ids import group_number, with_chromosome
 from strandloom.plans.problems import _id_sql
-from strandloom.storage import spread, table
+from strandloom.storage import maybe_broadcast, spread, table
 
 
 def frags(spark: SparkSession, d: str) -> DataFrame:
@@ -49,13 +49,15 @@ def reads(spark: SparkSession, d: str) -> DataFrame:
     4 bases, so that UMIs collide; qual has 16 characters.
     """
     lines = spread(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber").withColumn("rid", F.expr(_RID)).withColumn("id", F.expr("l_partkey % 2000"))
-    truth = table(spark, d, "cell_idb").filter("names is not null").select("id", F.expr("substr(names, 4)").alias("truth"))
+    # only ids that a remainder can be, so that the lines needn't be shuffled for it
+    truth = maybe_broadcast(table(spark, d, "cell_idb").filter("names is not null and id > -2000 and id < 2000").select("id", F.expr("substr(names, 4)").alias("truth")))
     place = "cast(1 + l_orderkey % 16 as int)"
     wrong = f"case when l_suppkey % 5 = 0 then translate(substr(truth, {place}, 1), 'ACGT', 'CGTA') when l_suppkey % 5 = 1 and l_orderkey % 7 = 0 then 'N' end"
     seq = f"case when {wrong} is null then truth else substr(truth, 1, {place} - 1) || {wrong} || substr(truth, {place} + 1) end"
-    dna = "translate(md5('{0}-' || rid), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    bases = "translate({0}, '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    dna = bases.format("md5('{0}-' || rid)")
     return lines.join(truth, "id").select(
-        "rid", "truth", F.expr(seq).alias("seq"), F.expr(f"substr({dna.format('u')}, 1, 4)").alias("umi"), F.expr("translate(substr(md5('q-' || rid), 1, 16), '0123456789abcdef', '#%+/37:?@ABCDEFG')").alias("qual"),
+        "rid", "truth", F.expr(seq).alias("seq"), F.expr(bases.format("substr(md5('u-' || rid), 1, 4)")).alias("umi"), F.expr("translate(substr(md5('q-' || rid), 1, 16), '0123456789abcdef', '#%+/37:?@ABCDEFG')").alias("qual"),
         F.expr("'G' || cast(l_partkey % 50 as string)").alias("gene"), F.expr("l_orderkey % 97").alias("cell"), F.expr("l_linenumber % 3").cast("bigint").alias("kind"), F.expr(f"{dna.format('s')} || {dna.format('t')}").alias("body"), F.expr("translate(md5('p-' || rid) || md5('r-' || rid), '0123456789abcdef', '#%+/37:?@ABCDEFG')").alias("body_qual"),
     )
 
