@@ -51,7 +51,11 @@ def expand(whitelist: DataFrame, mismatches: int = 1, letters: str = LETTERS, am
     found = whitelist.select("ord", F.col("seq").alias("variant"), F.lit(0).alias("dist"))
     frontier = found
     for k in range(1, mismatches + 1):
-        frontier = frontier.select("ord", F.explode(neighbours(F.col("variant"), letters)).alias("v")).select("ord", F.col("v.variant").alias("variant"), F.lit(k).alias("dist"))
+        # as neighbours, but with rows for places and letters, which Spark compiles
+        places = frontier.select("ord", "variant", F.explode(F.sequence(F.lit(1), F.length("variant"))).alias("i"))
+        changed = F.concat(F.substr("variant", F.lit(1), F.col("i") - 1), "letter", F.substr("variant", F.col("i") + 1))
+        parts = places.select("ord", "variant", "i", F.explode(F.array(*[F.lit(x) for x in letters])).alias("letter"))
+        frontier = parts.select("ord", F.col("variant").alias("_from"), changed.alias("variant")).filter("variant <> _from").select("ord", "variant", F.lit(k).alias("dist"))
         found = found.unionByName(frontier)
     if among is not None:
         found = found.join(maybe_broadcast(among), "variant", "left_semi")

@@ -5,7 +5,9 @@ the configuration is read from left to right; at each hole the alternatives are
 at its own shifts and lengths, and the first hit counts. A hit is found by equality joins only, with
 the whitelist expanded (sparse types) or the missed read expanded (dense types).
 
-A read goes through all holes as one row that carries what was found so far. Sparse types are looked
+A read goes through all holes as one row with a column for each hole; chains that begin alike share
+theirs. Arrays of codes are made at the end only, and looked at by place and not by functions of
+elements, which Spark doesn't compile: a row's code has to stay small to be compiled at all. Sparse types are looked
 up in that row by broadcast joins, so that reads are neither shuffled nor written: of a whitelist that
 is large when expanded only what the reads have at the hole is kept, for which they are read once
 more. Where that is still too large, at a hole with more than MOST_TRIES tries, and for dense types a
@@ -36,6 +38,11 @@ _CODES = "array<struct<type:string,code:string,text:string>>"
 Find = Callable[[DataFrame, str], DataFrame]
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """`df` itself, whose rows Spark makes in a method of their own: the JVM compiles none of more than 8,000 bytes."""
+    return df.coalesce(1 << 20)
+
+
 def whitelists(reads: DataFrame, config: Config, given: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """type -> (ord, seq, name) of the types that are looked up: from the configuration, or as given (ord, seq, perhaps name)."""
     out = {}
@@ -90,8 +97,9 @@ class _Lookup:
             large = [kind for kind in tried if self._small(kind) is None]
             seen = {}
             if large:
-                subs = F.array(*[F.struct(F.lit(kind).alias("type"), sub.alias("variant")) for kind in large for sub in tried[kind]])
-                rows = materialise(state.select(F.explode(subs).alias("s")).select("s.type", "s.variant").filter("variant is not null").distinct(), "seen")
+                subs = [F.struct(F.lit(kind).alias("type"), sub.alias("variant")) for kind in large for sub in tried[kind]]
+                had = state.select((F.explode(F.array(*subs)) if len(subs) > 1 else subs[0]).alias("s"))
+                rows = materialise(had.select("s.type", "s.variant").filter("variant is not null").distinct(), "seen")
                 seen = {kind: self._table(kind, rows.filter(F.col("type") == kind).select("variant")) for kind in large}
             self.held[place] = {kind: seen.get(kind, self.whole[kind]) for kind in tried}
         return self.held[place]
@@ -123,8 +131,8 @@ def _dense(config: Config, white: dict[str, DataFrame], mode: str, priors: DataF
     return find
 
 
-def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, find: Find | _Lookup, place: tuple) -> DataFrame:
-    """`state` with the hole's barcode added to _codes and the cursor moved to its end.
+def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, find: Find | _Lookup, place: tuple, out: str) -> DataFrame:
+    """`state` with the hole's barcode (type, code, text) as column `out` and the cursor moved to its end.
 
     Without a hit the code is null and the cursor moves by space and longest length of the last
     alternative. place: mate, start and holes of the chain up to this one.
@@ -143,7 +151,7 @@ def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, fi
     ends, none = [skip + size for _, skip, size in tries], last.space + last.length[1]
     move = F.lit(none) if {*ends} == {none} else F.coalesce(at(ends), F.lit(none))
     code = F.struct(at([kind for kind, _, _ in tries]).alias("type"), F.col("_hit._code").alias("code"), F.col("_hit._text").alias("text"))
-    moved = [*[c for c in state.columns if c not in ("_pos", "_codes")], (F.col("_pos") + move).alias("_pos"), F.array_append("_codes", code).alias("_codes")]
+    moved = [*[c for c in state.columns if c != "_pos"], (F.col("_pos") + move).alias("_pos"), code.alias(out)]
 
     if isinstance(find, _Lookup):
         whole = [F.when(F.length(part("_seq", skip, size)) == size, F.upper(part("_seq", skip, size))) for _, skip, size in tries]
@@ -161,7 +169,7 @@ def _hole(state: DataFrame, key: str, names: tuple[str, ...], config: Config, fi
                     continue
                 hits.append(own)
             hit = F.coalesce(*hits) if hits else F.lit(None).cast("struct<_rank:int,_code:string,_text:string>")
-            return found.select(*state.columns, hit.alias("_hit")).select(*moved)
+            return _apart(found.select(*state.columns, hit.alias("_hit")).select(*moved))
         find.by_rows = True
 
     array = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(kind).alias("type"), F.upper(part("_seq", skip, size)).alias("sub"), part("_qual", skip, size).alias("qual"), F.lit(size).alias("size")) for i, (kind, skip, size) in enumerate(tries)])
@@ -194,35 +202,58 @@ def _payload(state: DataFrame, length: int) -> DataFrame:
 
 def _scan(reads: DataFrame, key: str, config: Config, find: Find | _Lookup) -> DataFrame:
     """key, codes, genome, full, payload_1..4: the first kind of genome whose chains are found whole, else the last, with the common chains."""
-    state = reads
+    mates = sorted({ch.mate for ch in config.chains})
+    state = _apart(reads.select(key, *[F.col(f"r{m}.{f}").alias(f"_{f}_{m}") for m in mates for f in ("seq", "qual")]))
+    held: dict[tuple, tuple[str, str]] = {}
+    holes: list[list[str]] = []
     for c, chain in enumerate(config.chains):
-        mate = f"r{chain.mate}"
-        state = state.withColumns({"_seq": F.col(f"{mate}.seq"), "_qual": F.col(f"{mate}.qual"), "_pos": F.lit(chain.position), "_codes": F.array().cast(_CODES), "_payload": F.lit(None).cast("struct<seq:string,qual:string>")})
+        state = state.withColumns({"_seq": F.col(f"_seq_{chain.mate}"), "_qual": F.col(f"_qual_{chain.mate}"), "_pos": F.lit(chain.position), "_payload": F.lit(None).cast("struct<seq:string,qual:string>")})
+        holes.append([])
         for h, names in enumerate(chain.holes):
+            place = (chain.mate, chain.position, tuple(map(tuple, chain.holes[: h + 1])))
             if names[0].upper().startswith("GENOME"):
                 known = config.types.get(names[0])
                 state = _payload(state, known.length[0] if known else 0)
+                continue
+            if place in held:
+                state = state.withColumn("_pos", F.col(held[place][1]))
             else:
-                state = _hole(state, key, names, config, find, (chain.mate, chain.position, tuple(map(tuple, chain.holes[: h + 1]))))
-        state = state.withColumns({f"_c{c}": F.col("_codes"), f"_p{c}": F.col("_payload")}).drop("_seq", "_qual", "_pos", "_codes", "_payload")
-    kinds = list(dict.fromkeys(ch.genome for ch in config.chains if ch.genome))
-    whole = lambda codes: F.forall(codes, lambda x: x["code"].isNotNull())
+                held[place] = (f"_h{len(held)}", f"_e{len(held)}")
+                state = _hole(state, key, names, config, find, place, held[place][0]).withColumn(held[place][1], F.col("_pos"))
+            holes[c].append(held[place][0])
+        state = state.withColumn(f"_p{c}", F.col("_payload")).drop("_seq", "_qual", "_pos", "_payload")
+
+    def whole(columns: list[str]) -> Column:
+        ok = F.lit(True)
+        for one in dict.fromkeys(columns):
+            ok = ok & F.col(one)["code"].isNotNull()
+        return ok
+
+    taken = _taken(config)
+    kinds = [kind for kind in taken if kind is not None]
     genome = F.lit(kinds[-1] if kinds else None).cast("string")
     for kind in reversed(kinds[:-1]):
-        found = F.lit(True)
-        for c, chain in enumerate(config.chains):
-            if chain.genome == kind:
-                found = found & whole(F.col(f"_c{c}"))
-        genome = F.when(found, kind).otherwise(genome)
+        genome = F.when(whole([x for own, ch in zip(holes, config.chains) if ch.genome == kind for x in own]), kind).otherwise(genome)
     state = state.withColumn("genome", genome)
-    taken = [F.lit(True) if ch.genome is None else F.col("genome") == ch.genome for ch in config.chains]
-    codes = F.concat(*[F.when(t, F.col(f"_c{c}")).otherwise(F.array().cast(_CODES)) for c, t in enumerate(taken)])
-    mates = {m: [F.when(t, F.col(f"_p{c}")) for c, (t, ch) in enumerate(zip(taken, config.chains)) if ch.mate == m] for m in sorted({ch.mate for ch in config.chains})}
-    return state.select(key, codes.alias("codes"), "genome", *[F.coalesce(*p).alias(f"payload_{m}") for m, p in mates.items()]).withColumn("full", whole(F.col("codes")))
+    codes = full = None
+    for kind in reversed(taken):
+        own = [x for c in taken[kind] for x in holes[c]]
+        array, found = F.array(*own).cast(_CODES), whole(own)
+        codes = array if codes is None else F.when(F.col("genome") == kind, array).otherwise(codes)
+        full = found if full is None else F.when(F.col("genome") == kind, found).otherwise(full)
+    takes = [F.lit(True) if ch.genome is None else F.col("genome") == ch.genome for ch in config.chains]
+    payloads = {m: [F.when(t, F.col(f"_p{c}")) for c, (t, ch) in enumerate(zip(takes, config.chains)) if ch.mate == m] for m in mates}
+    return _apart(state).select(key, codes.alias("codes"), "genome", *[F.coalesce(*p).alias(f"payload_{m}") for m, p in payloads.items()], full.alias("full"))
+
+
+def _taken(config: Config) -> dict[str | None, list[int]]:
+    """Kind of genome -> chains that are taken for it, the common ones included; without any kind there is None."""
+    kinds = list(dict.fromkeys(ch.genome for ch in config.chains if ch.genome)) or [None]
+    return {kind: [c for c, ch in enumerate(config.chains) if ch.genome in (None, kind)] for kind in kinds}
 
 
-def _fits(identifier: Identifier) -> tuple[Column, Column]:
-    """(whether the codes of a read fit the identifier's pattern, the key).
+def _fits(identifier: Identifier, most: int) -> tuple[Column, Callable[[Column], Column]]:
+    """(first place in the codes of a read, of which there are at most `most`, where the identifier's pattern fits, or null; the key by that place).
 
     A pattern with places stands there, one without at its first fit from the left. ANY fits whatever
     stands there, found or not, and isn't part of the key; neither is a hole with several kinds, so
@@ -232,21 +263,20 @@ def _fits(identifier: Identifier) -> tuple[Column, Column]:
     for place, _ in identifier.pattern:
         at = place - 1 if place is not None else at + 1
         offsets.append(at)
-    element = lambda i, k: F.get(F.col("codes"), i + offsets[k])
 
-    def fits(i: Column) -> Column:
-        ok = F.lit(True)
+    def fits(i: int) -> Column:
+        ok = F.lit(True) if identifier.anchored else F.size("codes") > i + offsets[-1]
         for k, (_, types) in enumerate(identifier.pattern):
             if types is not None:
-                ok = ok & F.coalesce(element(i, k)["code"].isNotNull() & element(i, k)["type"].isin(list(types)), F.lit(False))
-        return ok
+                x = F.get(F.col("codes"), F.lit(i + offsets[k]))
+                ok = ok & x["code"].isNotNull() & x["type"].isin(list(types))
+        return F.when(ok, F.lit(i))
 
-    long = offsets[-1] + 1
-    places = F.array(F.lit(0)) if identifier.anchored else F.when(F.size("codes") >= long, F.sequence(F.lit(0), F.size("codes") - long)).otherwise(F.array().cast("array<int>"))
-    first = F.get(F.filter(places, fits), F.lit(0))
+    places = [0] if identifier.anchored else range(most - offsets[-1])
+    first = F.coalesce(F.lit(None).cast("int"), *map(fits, places))
     fixed = [k for k, (_, types) in enumerate(identifier.pattern) if types is not None and len(types) == 1]
-    key = F.concat_ws("-", *[element(first, k)["code"] for k in fixed]) if fixed else F.lit("")
-    return first.isNotNull(), F.when(first.isNotNull(), key)
+    key = lambda i: F.concat_ws("-", *[F.get(F.col("codes"), i + offsets[k])["code"] for k in fixed]) if fixed else F.lit("")
+    return first, lambda i: F.when(i.isNotNull(), key(i))
 
 
 def identify(reads: DataFrame, key: str, config: Config, mode: str = "default", given: dict[str, DataFrame] | None = None, partial: bool = False, numbered: bool = True) -> DataFrame:
@@ -280,13 +310,15 @@ def identify(reads: DataFrame, key: str, config: Config, mode: str = "default",
         done = first.filter("full").unionByName(_scan(rest, key, config, _dense(config, white, mode, priors)))
     else:
         done = _scan(reads, key, config, _dense(config, white, mode, None))
+    most = max(sum(1 for c in own for names in config.chains[c].holes if not names[0].upper().startswith("GENOME")) for own in _taken(config).values())
     kind = F.lit("NDNR")
     for one in config.identifiers:
         if one.name in ("DNA", "RNA"):
-            kind = F.when(_fits(one)[0], one.name).otherwise(kind)
+            kind = F.when(_fits(one, most)[0].isNotNull(), one.name).otherwise(kind)
     others = [one for one in config.identifiers if numbered and one.name not in ("DNA", "RNA")]
     counted = F.col("full") | F.lit(partial)
-    keyed = done.select("*", kind.alias("type"), *[F.when(counted, _fits(one)[1]).alias(f"_key_{j}") for j, one in enumerate(others)])
+    placed = _apart(done).withColumns({"type": kind, **{f"_at_{j}": F.when(counted, _fits(one, most)[0]) for j, one in enumerate(others)}})
+    keyed = placed.select(*done.columns, "type", *[_fits(one, most)[1](F.col(f"_at_{j}")).alias(f"_key_{j}") for j, one in enumerate(others)])
     if sparse is None or sparse.by_rows:
         keyed = materialise(keyed, "identified")
     tables = {}
